@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,6 +126,12 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         i = j
 
 
+def list_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, values) of a list column, so that row ``i`` is ``values[offsets[i]:offsets[i + 1]]``; null is empty."""
+    at = np.concatenate([[0], np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False))])
+    return at.astype(np.int64), column.flatten().to_numpy(zero_copy_only=False)
+
+
 def combine(hashes: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     """Hash of each run of ``k`` neighbouring word hashes."""
     n = len(hashes) - k + 1
