@@ -25,11 +25,17 @@ _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the folder that all executors share and cut its lineage."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; one of our own only where none is set, as in tests."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folio-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folio-"))
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder and cut its lineage."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
