@@ -43,6 +43,7 @@ from folio.llm.common import (
 
 HEAVY = 200_000  # most shingles that get a weight
 CHUNK = 2_000_000  # shingles counted at a time in a task
+FILTER_BITS = 1 << 23  # of the map of documents that take part in a verification
 LOCAL = 4  # times that a chunk must hold a shingle to report it
 
 
@@ -122,10 +123,13 @@ def _prefixes(n: int, percent: int, heavy):
     return run
 
 
-def _full_sets(n: int):
+def _full_sets(n: int, wanted):
+    """(id, bit, text) -> (id, members) of texts whose bit is set."""
+
     def run(batches):
         for batch in batches:
-            values = list(shingle_sets(batch.column(1), n))
+            batch = batch.filter(pa.array(wanted.value[batch.column(1).to_numpy(zero_copy_only=False)]))
+            values = list(shingle_sets(batch.column(2), n))
             at = np.cumsum([0, *map(len, values)])
             flat = np.concatenate(values) if values else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -143,7 +147,12 @@ def _needed(n: str, m: str, percent: int) -> str:
 def _overlaps(texts: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """pairs(a, b, ...) with ``shared``, the exact overlap of the two full sets."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_full_sets(n), "id long, members array<long>")
+    # a bit map of fixed size keeps most other texts out of the shuffle; the join below decides
+    bit = F.expr(f"cast(pmod(xxhash64(id), {FILTER_BITS}) as int)")
+    wanted = np.zeros(FILTER_BITS, bool)
+    wanted[ids.select(bit.alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
+    kernel = _full_sets(n, texts.sparkSession.sparkContext.broadcast(wanted))
+    sets = texts.where("id is not null").select("id", bit.alias("bit"), "text").mapInArrow(kernel, "id long, members array<long>")
     left = sets.select(F.col("id").alias("a"), F.col("members").alias("of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("members").alias("of_b"))
     return (
