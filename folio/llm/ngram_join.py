@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ from folio.llm.common import (
 
 HEAVY = 200_000  # most shingles that get a weight
 CHUNK = 2_000_000  # shingles counted at a time in a task
+GROUP = 500  # texts verified together
 FILTER_BITS = 1 << 23  # of the map of documents that take part in a verification
 LOCAL = 4  # times that a chunk must hold a shingle to report it
 
@@ -123,18 +125,37 @@ def _prefixes(n: int, percent: int, heavy):
     return run
 
 
-def _full_sets(n: int, wanted):
-    """(id, bit, text) -> (id, members) of texts whose bit is set."""
+def _involved(wanted):
+    """(id, bit, text) -> (id, packed): the compressed texts whose bit is set, smaller than their sets."""
 
     def run(batches):
+        squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             batch = batch.filter(pa.array(wanted.value[batch.column(1).to_numpy(zero_copy_only=False)]))
-            values = list(shingle_sets(batch.column(2), n))
-            at = np.cumsum([0, *map(len, values)])
-            flat = np.concatenate(values) if values else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(signed(flat)))], names=["id", "members"]
-            )
+            packed = [squeeze((t.as_py() or "").encode()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "packed"])
+
+    return run
+
+
+def _verify(n: int):
+    """Rows of a bucket, texts (packed) and pairs (b) -> (a, b, na, nb, shared) of the full sets."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        texts = rows.filter(pa.compute.is_valid(rows.column("packed")))
+        pairs = rows.filter(pa.compute.is_valid(rows.column("b")))
+        expand = zstandard.ZstdDecompressor().decompress
+        plain = pa.array([expand(t).decode() for t in texts.column("packed").to_pylist()], pa.large_string())
+        sets = dict(zip(texts.column("a").to_pylist(), shingle_sets(plain, n)))
+        a, b = pairs.column("a").to_pylist(), pairs.column("b").to_pylist()
+        shared = []
+        for x, y in zip(a, b):
+            u, v = sets[x], sets[y]
+            if len(u) > len(v):
+                u, v = v, u
+            shared.append(int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum()) if len(u) else 0)
+        sizes = [pa.array([len(sets[x]) for x in ids], pa.int64()) for ids in (a, b)]
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *sizes, pa.array(shared, pa.int64())], names=["a", "b", "na", "nb", "shared"])
 
     return run
 
@@ -145,19 +166,29 @@ def _needed(n: str, m: str, percent: int) -> str:
 
 
 def _overlaps(texts: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """pairs(a, b, ...) with ``shared``, the exact overlap of the two full sets."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    """(a, b, na, nb, shared) of pairs(a, b, piv): the full sets' sizes and exact overlap.
+
+    Pairs of one pivot are verified together, so a text goes to each of its pivots and not to each of its partners. A
+    pivot with more than ``GROUP`` texts is cut into blocks, a pair going where its two blocks meet.
+    """
+    pairs = checkpoint(pairs.groupBy("a", "b").agg(F.min("piv").alias("piv")))
+    uses = pairs.select("piv", F.col("a").alias("id")).union(pairs.select("piv", "b")).distinct().groupBy("piv").agg(F.count("*").alias("n"))
+    buckets = -(-(uses.agg(F.sum("n")).first()[0] or 0) // GROUP) or 1
+    blocks = uses.select("piv", F.ceil(F.col("n") / GROUP).alias("k"))
+    dealt = pairs.join(blocks, "piv").select(
+        F.expr(f"cast(pmod(xxhash64(piv, pmod(xxhash64(a), k), pmod(xxhash64(b), k)), {buckets}) as int)").alias("bucket"), "a", "b"
+    )
+    needed = dealt.select("bucket", F.col("a").alias("id")).union(dealt.select("bucket", "b")).distinct()
     # a bit map of fixed size keeps most other texts out of the shuffle; the join below decides
     bit = F.expr(f"cast(pmod(xxhash64(id), {FILTER_BITS}) as int)")
     wanted = np.zeros(FILTER_BITS, bool)
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     wanted[ids.select(bit.alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
-    kernel = _full_sets(n, texts.sparkSession.sparkContext.broadcast(wanted))
-    sets = texts.where("id is not null").select("id", bit.alias("bit"), "text").mapInArrow(kernel, "id long, members array<long>")
-    left = sets.select(F.col("id").alias("a"), F.col("members").alias("of_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("members").alias("of_b"))
-    return (
-        pairs.join(left, "a").join(right, "b").withColumn("shared", F.expr("size(array_intersect(of_a, of_b))").cast("long")).drop("of_a", "of_b")
-    )
+    kernel = _involved(texts.sparkSession.sparkContext.broadcast(wanted))
+    packed = texts.where("id is not null").select("id", bit.alias("bit"), "text").mapInArrow(kernel, "id long, packed binary")
+    rows = needed.join(packed, "id").select("bucket", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "packed")
+    rows = rows.union(dealt.select("bucket", "a", "b", F.lit(None).cast("binary")))
+    return rows.groupBy("bucket").applyInArrow(_verify(n), "a long, b long, na long, nb long, shared long")
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -194,8 +225,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         )
 
     first = lists.where(f"id <> piv and {reachable('n', 'pos', 'piv_n', 'piv_pos')}").select(
-        F.col("id").alias("a"), F.col("piv").alias("b"), F.col("n").alias("na"), F.col("piv_n").alias("nb")
-    ).distinct()
+        F.col("id").alias("a"), F.col("piv").alias("b"), "piv"
+    )
     first = checkpoint(_overlaps(texts, first, n))
     links = first.where(f"shared >= {_needed('na', 'nb', percent)}").select("a", "b")
     found = connected_components(links)
@@ -218,8 +249,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 f"coalesce(least(r.to_piv + s.n - s.to_piv, s.to_piv + r.n - r.to_piv), s.n) >= {_needed('s.n', 'r.n', percent)}"
             ),
         )
-        .select(F.col("s.id").alias("a"), F.col("r.id").alias("b"), F.col("s.n").alias("na"), F.col("r.n").alias("nb"))
-        .distinct()
+        .select(F.col("s.id").alias("a"), F.col("r.id").alias("b"), F.col("s.piv").alias("piv"))
     )
     again = checkpoint(_overlaps(texts, again, n).where(f"shared >= {_needed('na', 'nb', percent)}").select("a", "b"))
     if not again.isEmpty():
