@@ -2,21 +2,22 @@
 
 Sets of word shingles are joined exactly at ``100 * |A & B| >= percent * |A | B|``.
 
-* **Index.** A set keeps its shingles in one global order, rare ones first, and only its first
-  ``n - ceil(percent * n / 100) + 1`` enter the index: two sets that qualify share one of those.
-  The order comes from counts over all documents; only the ``HEAVY`` most frequent shingles get a
-  weight (a bounded table), the rest count as rare. The order changes the work, never the result.
-* **Block skipping.** An index list is cut by position. Two entries at positions p and q of sets of
-  sizes n and m can share at most ``min(p, q) + 1 + min(n - p, m - q) - 1`` shingles; blocks (here
-  entries with their position and size) that can't reach the required overlap are skipped unread.
-* **Answers from a similar set.** Each list first meets one set only, its pivot (the smallest id).
-  Members that link to a pivot are connected already and are not compared with each other. The
-  rest need a comparison only across components, and there the pivot's computed answers bound it:
-  ``|S & R| <= |P & R| + |S| - |P & S|``. What that leaves open is verified on the full sets.
-
-Identical sets are one class (its smallest id stands for it), found by a 128-bit fingerprint.
-Nothing is capped: lists are dealt out by shingle, a pivot is an aggregate, and pairs inside a
-group of near copies are never emitted as long as the group hangs together by pivots.
+* **Index.** A set keeps its shingles in one global order, rare ones first. The order comes from counts over
+  all documents; only the ``HEAVY`` most frequent shingles get a weight (a bounded table), the rest count as rare.
+  The order changes the work, never the result.
+* **Block skipping.** By position: behind position ``n - ceil(percent * n / 100)`` a first common shingle leaves too
+  small an overlap, so that block of a set is skipped and never indexed. By size: a list is run through in
+  order of size, blocks beyond the size ratio are skipped, and an entry whose neighbours in that order are both
+  beyond it leaves its list.
+* **Answers from a similar set.** Sets that meet in a list go to the group of the list's pivot, its smallest id. A group
+  counts one set's overlaps with all others at a time, and derives from these answers what it can of the rest: sets linked
+  to it are connected, so no pair among them is compared; and for any S and R it bounds
+  ``|S & R| <= min(|S & P|, |R & P|) + min(|S - P|, |R - P|)``, which settles most of the others. The next set is the one with
+  most open pairs, until no pair is open.
+
+Identical sets are one class (its smallest id stands for it), found by a 128-bit fingerprint. Nothing is capped: lists
+are dealt out by shingle, groups of over ``GROUP`` sets are cut into blocks and each pair of blocks is verified on its
+own, and a group returns a forest over its sets and not the pairs.
 
 Null, empty and blank texts have the empty set and link with nothing; repeated ids are one vertex.
 """
@@ -30,6 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from folio.llm.common import (
     Words,
@@ -138,57 +140,82 @@ def _involved(wanted):
     return run
 
 
-def _verify(n: int):
-    """Rows of a bucket, texts (packed) and pairs (b) -> (a, b, na, nb, shared) of the full sets."""
+def forest(sets: list[np.ndarray], sides: np.ndarray | None, percent: int) -> np.ndarray:
+    """For each set the first one that it is connected with. ``sides``: 0 or 1; with it, only pairs across sides count."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets], np.int64)
+    need = -(-percent * (size[:, None] + size[None]) // (100 + percent))
+    open_ = need <= np.minimum(size[:, None], size[None])
+    if sides is not None:
+        open_ &= sides[:, None] != sides[None]
+    np.fill_diagonal(open_, False)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
+    root = np.arange(n)
+    while True:
+        degree = open_.sum(1)
+        p = int(degree.argmax())
+        if not degree[p]:
+            return root
+        at = np.minimum(np.searchsorted(sets[p], flat), size[p] - 1)
+        shared = np.bincount(owner[sets[p][at] == flat], minlength=n)
+        linked = open_[p] & (shared >= need[p])
+        if linked.any():
+            linked[p] = True
+            joined = np.isin(root, root[linked])
+            root[joined] = root[joined].min()
+            open_ &= root[:, None] != root[None]
+        open_[p], open_[:, p] = False, False
+        rest = size - shared
+        open_ &= np.minimum(shared[:, None], shared[None]) + np.minimum(rest[:, None], rest[None]) >= need
+
+
+def _verify(n: int, percent: int):
+    """Rows of a bucket, texts (packed) and places (piv, i, j, own) -> (a, b) links that connect what qualifies."""
 
     def run(rows: pa.Table) -> pa.Table:
-        texts = rows.filter(pa.compute.is_valid(rows.column("packed")))
-        pairs = rows.filter(pa.compute.is_valid(rows.column("b")))
+        whole = pa.compute.is_valid(rows.column("packed"))
+        texts, places = rows.filter(whole), rows.filter(pa.compute.invert(whole))
         expand = zstandard.ZstdDecompressor().decompress
         plain = pa.array([expand(t).decode() for t in texts.column("packed").to_pylist()], pa.large_string())
-        sets = dict(zip(texts.column("a").to_pylist(), shingle_sets(plain, n)))
-        a, b = pairs.column("a").to_pylist(), pairs.column("b").to_pylist()
-        shared = []
-        for x, y in zip(a, b):
-            u, v = sets[x], sets[y]
-            if len(u) > len(v):
-                u, v = v, u
-            shared.append(int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum()) if len(u) else 0)
-        sizes = [pa.array([len(sets[x]) for x in ids], pa.int64()) for ids in (a, b)]
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *sizes, pa.array(shared, pa.int64())], names=["a", "b", "na", "nb", "shared"])
+        sets = dict(zip(texts.column("id").to_pylist(), shingle_sets(plain, n)))
+        groups: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
+        for piv, i, j, own, x in zip(*(places.column(c).to_pylist() for c in ("piv", "i", "j", "own", "id"))):
+            groups.setdefault((piv, i, j), []).append((x, own))
+        a, b = [], []
+        for (_, i, j), members in groups.items():
+            members.sort()
+            ids = [x for x, _ in members]
+            root = forest([sets[x] for x in ids], None if i == j else np.array([o == j for _, o in members]), percent)
+            for x in np.flatnonzero(root != np.arange(len(ids))).tolist():
+                a.append(ids[x])
+                b.append(ids[root[x]])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def _needed(n: str, m: str, percent: int) -> str:
-    """The least overlap of sets of sizes n and m that qualify."""
-    return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
-
-
-def _overlaps(texts: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """(a, b, na, nb, shared) of pairs(a, b, piv): the full sets' sizes and exact overlap.
-
-    Pairs of one pivot are verified together, so a text goes to each of its pivots and not to each of its partners. A
-    pivot with more than ``GROUP`` texts is cut into blocks, a pair going where its two blocks meet.
-    """
-    pairs = checkpoint(pairs.groupBy("a", "b").agg(F.min("piv").alias("piv")))
-    uses = pairs.select("piv", F.col("a").alias("id")).union(pairs.select("piv", "b")).distinct().groupBy("piv").agg(F.count("*").alias("n"))
-    buckets = -(-(uses.agg(F.sum("n")).first()[0] or 0) // GROUP) or 1
-    blocks = uses.select("piv", F.ceil(F.col("n") / GROUP).alias("k"))
-    dealt = pairs.join(blocks, "piv").select(
-        F.expr(f"cast(pmod(xxhash64(piv, pmod(xxhash64(a), k), pmod(xxhash64(b), k)), {buckets}) as int)").alias("bucket"), "a", "b"
+def _links(texts: DataFrame, meets: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): links among the sets that ``meets(piv, id)`` brings together, enough to connect all that qualify."""
+    k = meets.groupBy("piv").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("k"))
+    total = meets.join(k, "piv").agg(F.sum("k")).first()[0] or 0
+    places = (
+        meets.join(k, "piv")
+        .withColumn("own", F.expr("cast(pmod(xxhash64(id), k) as int)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, k - 1)")))
+        .select("piv", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id")
+        .withColumn("bucket", F.expr(f"cast(pmod(xxhash64(piv, i, j), {-(-total // GROUP) or 1}) as int)"))
     )
-    needed = dealt.select("bucket", F.col("a").alias("id")).union(dealt.select("bucket", "b")).distinct()
     # a bit map of fixed size keeps most other texts out of the shuffle; the join below decides
     bit = F.expr(f"cast(pmod(xxhash64(id), {FILTER_BITS}) as int)")
     wanted = np.zeros(FILTER_BITS, bool)
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    wanted[ids.select(bit.alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
+    wanted[meets.select(bit.alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
     kernel = _involved(texts.sparkSession.sparkContext.broadcast(wanted))
     packed = texts.where("id is not null").select("id", bit.alias("bit"), "text").mapInArrow(kernel, "id long, packed binary")
-    rows = needed.join(packed, "id").select("bucket", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "packed")
-    rows = rows.union(dealt.select("bucket", "a", "b", F.lit(None).cast("binary")))
-    return rows.groupBy("bucket").applyInArrow(_verify(n), "a long, b long, na long, nb long, shared long")
+    needed = places.select("bucket", "id").distinct().join(packed, "id")
+    none = F.lit(None)
+    rows = needed.select("bucket", *(none.cast(t).alias(c) for c, t in (("piv", "long"), ("i", "int"), ("j", "int"), ("own", "int"))), "id", "packed")
+    rows = rows.union(places.select("bucket", "piv", "i", "j", "own", "id", none.cast("binary")))
+    return rows.groupBy("bucket").applyInArrow(_verify(n, percent), "a long, b long")
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -207,53 +234,24 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = sizes.where("n > 0 and id is not null").groupBy("n", "one", "two").agg(F.min("id").alias("rep"))
     members = sizes.join(classes, ["n", "one", "two"], "left").select("id", "n", "rep")
 
-    # one row per class in the index: a repeated id could still bring its class twice, which max() below tells apart
     reps = classes.select(F.col("rep").alias("id"), "n")
     postings = (
         texts.mapInArrow(_prefixes(n, percent, table_), "id long, prefix array<long>")
         .join(reps, "id")
-        .select("id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "tok"))
+        .select("id", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("tok"))
         .repartition("tok")
     )
-    pivots = postings.groupBy("tok").agg(F.min(F.struct("id", "n", "pos")).alias("p"), F.max("id").alias("last")).where("p.id < last")
-    lists = checkpoint(postings.join(pivots, "tok").select("tok", "id", "n", "pos", F.col("p.id").alias("piv"), F.col("p.n").alias("piv_n"), F.col("p.pos").alias("piv_pos")))
-
-    def reachable(n1: str, p1: str, n2: str, p2: str) -> str:
-        return (
-            f"100 * least({n1}, {n2}) >= {percent} * greatest({n1}, {n2}) and "
-            f"least({p1}, {p2}) + least({n1} - {p1}, {n2} - {p2}) >= {_needed(n1, n2, percent)}"
-        )
-
-    first = lists.where(f"id <> piv and {reachable('n', 'pos', 'piv_n', 'piv_pos')}").select(
-        F.col("id").alias("a"), F.col("piv").alias("b"), "piv"
-    )
-    first = checkpoint(_overlaps(texts, first, n))
-    links = first.where(f"shared >= {_needed('na', 'nb', percent)}").select("a", "b")
-    found = connected_components(links)
-
-    # lists that still hold several components: pairs across them that neither position nor a pivot's answers rule out
-    open_lists = (
-        lists.join(found.withColumnRenamed("id", "x"), F.col("id") == F.col("x"), "left")
-        .withColumn("comp", F.coalesce("component", "id"))
-        .join(first.select(F.col("a").alias("fa"), F.col("b").alias("fb"), "shared"), F.expr("id = fa and piv = fb"), "left")
-        .select("tok", "id", "n", "pos", "comp", "piv", "piv_n", F.expr("case when id = piv then n else shared end").alias("to_piv"))
-    )
-    several = open_lists.where("id <> piv").groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok")
-    open_lists = open_lists.where("id <> piv").join(several, "tok", "left_semi")
-    s, r = open_lists.alias("s"), open_lists.alias("r")
-    again = (
-        s.join(
-            r,
-            F.expr(
-                f"s.tok = r.tok and s.id > r.id and s.comp <> r.comp and {reachable('s.n', 's.pos', 'r.n', 'r.pos')} and "
-                f"coalesce(least(r.to_piv + s.n - s.to_piv, s.to_piv + r.n - r.to_piv), s.n) >= {_needed('s.n', 'r.n', percent)}"
-            ),
-        )
-        .select(F.col("s.id").alias("a"), F.col("r.id").alias("b"), F.col("s.piv").alias("piv"))
+    pivots = postings.groupBy("tok").agg(F.min("id").alias("piv"), F.max("id").alias("last")).where("piv < last").select("tok", "piv")
+    by_size = W.partitionBy("tok").orderBy("n", "id")
+    # in order of size, the nearest neighbour is the most alike in size; alone beyond the ratio, an entry meets nobody
+    meets = (
+        postings.join(pivots, "tok")
+        .withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+        .where(f"100 * below >= {percent} * n or 100 * n >= {percent} * above")
+        .select("piv", "id")
+        .distinct()
     )
-    again = checkpoint(_overlaps(texts, again, n).where(f"shared >= {_needed('na', 'nb', percent)}").select("a", "b"))
-    if not again.isEmpty():
-        found = connected_components(links.union(again))
+    found = connected_components(_links(texts, checkpoint(meets), n, percent))
     return members.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id")
     )
