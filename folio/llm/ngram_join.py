@@ -6,7 +6,8 @@ Sets of word shingles are joined exactly at ``100 * |A & B| >= percent * |A | B|
   all documents; only the ``HEAVY`` most frequent shingles get a weight (a bounded table), the rest count as rare.
   The order changes the work, never the result.
 * **Block skipping.** By position: behind position ``n - ceil(percent * n / 100)`` a first common shingle leaves too
-  small an overlap, so that block of a set is skipped and never indexed. By size: a list is run through in
+  small an overlap, so that block of a set is skipped and never indexed, but for ``n / MORE`` positions: with them, sets that
+  qualify meet in as many lists more, and a set that meets others in fewer lists is skipped. By size: a list is run through in
   order of size, blocks beyond the size ratio are skipped, and an entry whose neighbours in that order are both
   beyond it leaves its list.
 * **Answers from a similar set.** Sets that meet in a list go to the group of the list's pivot, its smallest id. A group
@@ -46,6 +47,7 @@ from folio.llm.common import (
 
 HEAVY = 200_000  # most shingles that get a weight
 CHUNK = 2_000_000  # shingles counted at a time in a task
+MORE = 50  # one more prefix shingle for each so many in the set
 GROUP = 500  # texts verified together
 FILTER_BITS = 1 << 23  # of the map of documents that take part in a verification
 LOCAL = 4  # times that a chunk must hold a shingle to report it
@@ -111,7 +113,7 @@ def _prefixes(n: int, percent: int, heavy):
             values, at = [], [0]
             for s in shingle_sets(batch.column(1), n):
                 size = len(s)
-                keep = size + (-percent * size // 100) + 1 if size else 0
+                keep = min(size, size + (-percent * size // 100) + 1 + size // MORE) if size else 0
                 if size and len(keys):
                     where = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
                     weight = np.where(keys[where] == s, weights[where], 0)
@@ -244,14 +246,20 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pivots = postings.groupBy("tok").agg(F.min("id").alias("piv"), F.max("id").alias("last")).where("piv < last").select("tok", "piv")
     by_size = W.partitionBy("tok").orderBy("n", "id")
     # in order of size, the nearest neighbour is the most alike in size; alone beyond the ratio, an entry meets nobody
-    meets = (
+    # sets of sizes n and m that qualify share 1 + min(n, m) div MORE of the longer prefixes: whoever meets others less often meets none
+    least = f"1 + (({percent} * n + 99) div 100) div {MORE}"
+    met = (
         postings.join(pivots, "tok")
         .withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
         .where(f"100 * below >= {percent} * n or 100 * n >= {percent} * above")
-        .select("piv", "id")
-        .distinct()
+        .groupBy("piv", "id", "n")
+        .agg(F.count("*").alias("c"))
+        .withColumn("all", F.sum("c").over(W.partitionBy("id")))
+        .where(f"all >= {least}")
     )
-    found = connected_components(_links(texts, checkpoint(meets), n, percent))
+    meets = checkpoint(met.select("piv", "id"))
+    alone = meets.groupBy("piv").agg(F.count("*").alias("c")).where("c > 1").select("piv")
+    found = connected_components(_links(texts, checkpoint(meets.join(alone, "piv")), n, percent))
     return members.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id")
     )
