@@ -241,6 +241,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         texts.mapInArrow(_prefixes(n, percent, table_), "id long, prefix array<long>")
         .join(reps, "id")
         .select("id", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("tok"))
+        .where("tok is not null")  # as the join below would ask, so that both uses share one exchange
         .repartition("tok")
     )
     pivots = postings.groupBy("tok").agg(F.min("id").alias("piv"), F.max("id").alias("last")).where("piv < last").select("tok", "piv")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import Words, checkpoint, combine, list_parts, signed, slices, table
+from folio.llm.common import Words, checkpoint, combine, signed, slices, table
 
 WINDOW = 20
 GRAM = 8
@@ -49,55 +49,68 @@ def _anchors(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndar
     return grams, where
 
 
+def _grouped(h: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Distinct hashes of a text, the first place of each, and all its places as int32 bytes: periodic text stays one row a hash."""
+    order = np.lexsort((places, h))
+    h, places = h[order], places[order].astype("<i4")
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+    ends = np.append(first[1:], len(h)) if len(h) else first
+    raw = places.tobytes()
+    return h[first], places[first], [raw[4 * x : 4 * y] for x, y in zip(first.tolist(), ends.tolist())]
+
+
+def _rows(batch, i: int, j: int, parts) -> pa.RecordBatch:
+    whose = pa.array(np.repeat(np.arange(i, j), [len(p[0]) for p in parts]))
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column(2).take(whose),
+            batch.column(0).take(whose),
+            pa.array(signed(np.concatenate([p[0] for p in parts]).astype(np.uint64))),
+            pa.array(np.concatenate([p[1] for p in parts]), pa.int32()),
+            pa.array([x for p in parts for x in p[2]], pa.binary()),
+        ],
+        names=["id", "k", "h", "at", "places"],
+    )
+
+
 def _index(window: int, gram: int):
-    """(id, anchor) once for each different anchor place of each text."""
+    """(k, text, id, row) -> (id, k, h, at, places): the anchors of each text, a row each."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j, data, offsets in slices(batch.column(1)):
                 words = Words(data, offsets)
                 h = words.hashes(lower=False)
-                key, at, count = [], [], []
+                parts = []
                 for d in range(j - i):
-                    own = h[words.at[d] : words.at[d + 1]]
-                    grams, where = _anchors(own, window, gram)
+                    grams, where = _anchors(h[words.at[d] : words.at[d + 1]], window, gram)
                     places = np.unique(where)
-                    key.append(grams[places])
-                    at.append(places)
-                    count.append(len(places))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids[i:j], count), pa.int64()), pa.array(signed(np.concatenate(key))), pa.array(np.concatenate(at), pa.int32())],
-                    names=["id", "anchor", "at"],
-                )
+                    parts.append(_grouped(grams[places], places))
+                yield _rows(batch, i, j, parts)
 
     return run
 
 
+def _numbers(parts) -> np.ndarray:
+    return np.frombuffer(b"".join(parts or []), "<i4")
+
+
 def _windows(window: int, gram: int):
-    """(k, text, places of repeated anchors, id) -> (id, k, window hash, start) of the windows that hold one."""
+    """(k, text, id, row, places of repeated anchors) -> (id, k, h, at, places) of the windows that hold one."""
 
     def run(batches):
         for batch in batches:
-            keys = batch.column(0)
-            cut, places = list_parts(batch.column(2))
-            ids = batch.column(3)
+            anchors = batch.column(4).to_pylist()
             for i, j, data, offsets in slices(batch.column(1)):
                 words = Words(data, offsets)
                 h = words.hashes(lower=False)
-                key, start, count = [], [], []
+                parts = []
                 for d in range(j - i):
                     own = h[words.at[d] : words.at[d + 1]]
                     _, where = _anchors(own, window, gram)
-                    hot = np.flatnonzero(np.isin(where, places[cut[i + d] : cut[i + d + 1]]))
-                    key.append(combine(own, window, salt=11)[hot] if len(hot) else np.zeros(0, np.uint64))
-                    start.append(hot)
-                    count.append(len(hot))
-                whose = pa.array(np.repeat(np.arange(i, j), count))
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(whose), keys.take(whose), pa.array(signed(np.concatenate(key))), pa.array(np.concatenate(start), pa.int32())],
-                    names=["id", "k", "win", "at"],
-                )
+                    hot = np.flatnonzero(np.isin(where, _numbers(anchors[i + d])))
+                    parts.append(_grouped(combine(own, window, salt=11)[hot] if len(hot) else np.zeros(0, np.uint64), hot))
+                yield _rows(batch, i, j, parts)
 
     return run
 
@@ -116,7 +129,7 @@ def _keep(window: int):
     def run(batches):
         for batch in batches:
             copy = batch.column(2).to_pylist()
-            cut, found = list_parts(batch.column(3))
+            found = batch.column(3).to_pylist()
             n_words, n_removed, kept, spans = [], [], [], []
             for i, j, data, offsets in slices(batch.column(1)):
                 words = Words(data, offsets)
@@ -125,7 +138,7 @@ def _keep(window: int):
                     if copy[i + d] and b - a >= window:
                         cuts = [(0, b - a)]
                     else:
-                        cuts = factors(np.sort(found[cut[i + d] : cut[i + d + 1]]), window)
+                        cuts = factors(np.unique(_numbers(found[i + d])), window)
                     stay, at = [], 0
                     for first, end in cuts:
                         if first > at:
@@ -162,30 +175,27 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = checkpoint(
         texts.select("id", "k", "sha").distinct().join(first.where("lo < hi"), "sha").where("k <> f.k").select("k", F.lit(True).alias("copy"))
     )
-    keyed = texts.select("row", "id", "k", "text").repartition("k").join(copies, "k", "left")
-    index = (
-        keyed.where("copy is null").select("k", "text").mapInArrow(_index(window, gram), "id long, anchor long, at int").repartition("anchor")
-    )
-    # a row that is there twice is one document: the same (id, at) twice is no repeat
-    many = index.groupBy("anchor").agg(F.min(F.struct("id", "at")).alias("lo"), F.max(F.struct("id", "at")).alias("hi")).where("lo < hi")
-    places = index.join(many.select("anchor"), "anchor").groupBy(F.col("id").alias("k")).agg(F.collect_set("at").alias("places"))
-    found = (
-        keyed.where("copy is null")
-        .select("k", "text", "id")
-        .join(places, "k")
-        .select("k", "text", "places", "id")
-        .mapInArrow(_windows(window, gram), "id long, k long, win long, at int")
-        .repartition("win")
-    )
-    earliest = found.groupBy("win").agg(F.min(F.struct("id", "k", "at")).alias("e"), F.max(F.struct("id", "k", "at")).alias("l")).where("e < l")
+    # every use below reads the same columns of this exchange, and asks nothing of a key before it, so Spark shuffles the texts once
+    keyed = texts.select("k", "text", "id", "row").where("k is not null").repartition("k").join(copies, "k", "left")
+    found = "id long, k long, h long, at int, places binary"
+    alone = keyed.where("copy is null").select("k", "text", "id", "row")
+    index = alone.mapInArrow(_index(window, gram), found).where("h is not null").repartition("h")
+    spread = [F.min(F.struct("id", "k", "at")).alias("e"), F.max(F.struct("id", "k", "at")).alias("l"), F.max(F.length("places")).alias("m")]
+    # a row that is there twice is one document: the same (id, k, at) twice is no repeat
+    many = index.groupBy("h").agg(*spread).where("e < l or m > 4").select("h")
+    anchors = index.join(many, "h").groupBy("k").agg(F.collect_set("places").alias("anchors"))
+    windows = alone.join(anchors, "k").select("k", "text", "id", "row", "anchors").mapInArrow(_windows(window, gram), found).where("h is not null").repartition("h")
+    earliest = windows.groupBy("h").agg(*spread).where("e < l or m > 4").select("h", "e")
+    # a window's first place in a text repeats if another text, or the same under another key, has it earlier; its later places always do
     starts = (
-        found.join(earliest.select("win", "e"), "win")
-        .where("struct(id, k, at) > e")
+        windows.join(earliest, "h")
+        .select("k", F.expr("if(struct(id, k, at) > e, places, substring(places, 5))").alias("places"))
+        .where("length(places) > 0")
         .groupBy("k")
-        .agg(F.collect_set("at").alias("starts"))
+        .agg(F.collect_set("places").alias("starts"))
     )
     schema = "n_words long, n_removed long, kept_text string, spans array<struct<first int, end int>>"
-    kept = keyed.join(starts, "k", "left").select("row", "text", "copy", "starts")
+    kept = keyed.join(starts, "k", "left").select("row", "text", "copy", "starts", "k", "id")
     kept = kept.mapInArrow(_keep(window), f"row {docs.select(F.struct(*own).alias('row')).schema['row'].dataType.simpleString()}, {schema}")
     return kept.select("row.*", "n_words", "n_removed", "kept_text", "spans")
 
