@@ -49,32 +49,35 @@ def _anchors(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndar
     return grams, where
 
 
-def _grouped(h: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Distinct hashes of a text, the first place of each, and all its places as int32 bytes: periodic text stays one row a hash."""
+def _grouped(h: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Distinct hashes of a text and the ascending places of each as bytes: periodic text stays one row a hash."""
     order = np.lexsort((places, h))
-    h, places = h[order], places[order].astype("<i4")
+    h, places = h[order], places[order].astype(">i4")
     first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
     ends = np.append(first[1:], len(h)) if len(h) else first
     raw = places.tobytes()
-    return h[first], places[first], [raw[4 * x : 4 * y] for x, y in zip(first.tolist(), ends.tolist())]
+    return h[first], [raw[4 * x : 4 * y] for x, y in zip(first.tolist(), ends.tolist())]
 
 
 def _rows(batch, i: int, j: int, parts) -> pa.RecordBatch:
-    whose = pa.array(np.repeat(np.arange(i, j), [len(p[0]) for p in parts]))
+    """(h, place): a place is the id, the key and the places in the text as big-endian bytes, so that bytes sort as the corpus does.
+
+    One opaque column keeps all uses of the shuffled rows the same to Spark, and so the shuffle single.
+    """
+    ids = (pa.compute.fill_null(batch.column(2)[i:j], -(1 << 63)).to_numpy(zero_copy_only=False).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").tobytes()
+    keys = batch.column(0)[i:j].to_pylist()
+    heads = [ids[8 * d : 8 * d + 8] + k for d, k in enumerate(keys)]
     return pa.RecordBatch.from_arrays(
         [
-            batch.column(2).take(whose),
-            batch.column(0).take(whose),
             pa.array(signed(np.concatenate([p[0] for p in parts]).astype(np.uint64))),
-            pa.array(np.concatenate([p[1] for p in parts]), pa.int32()),
-            pa.array([x for p in parts for x in p[2]], pa.binary()),
+            pa.array([head + x for head, p in zip(heads, parts) for x in p[1]], pa.binary()),
         ],
-        names=["id", "k", "h", "at", "places"],
+        names=["h", "place"],
     )
 
 
 def _index(window: int, gram: int):
-    """(k, text, id, row) -> (id, k, h, at, places): the anchors of each text, a row each."""
+    """(k, text, id, row) -> (h, place): the anchors of each text, a row each."""
 
     def run(batches):
         for batch in batches:
@@ -92,11 +95,11 @@ def _index(window: int, gram: int):
 
 
 def _numbers(parts) -> np.ndarray:
-    return np.frombuffer(b"".join(parts or []), "<i4")
+    return np.frombuffer(b"".join(parts or []), ">i4")
 
 
 def _windows(window: int, gram: int):
-    """(k, text, id, row, places of repeated anchors) -> (id, k, h, at, places) of the windows that hold one."""
+    """(k, text, id, row, places of repeated anchors) -> (h, place) of the windows that hold one."""
 
     def run(batches):
         for batch in batches:
@@ -170,26 +173,28 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(
         F.struct(*(F.col(c) for c in own)).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     ).withColumn("sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    texts = texts.withColumn("k", F.xxhash64("id", "sha"))
+    texts = texts.withColumn("k", F.unhex(F.lpad(F.hex(F.xxhash64("id", "sha")), 16, "0")))
     first = texts.groupBy("sha").agg(F.min(F.struct("id", "k")).alias("f"), F.max("k").alias("hi"), F.min("k").alias("lo"))
     copies = checkpoint(
         texts.select("id", "k", "sha").distinct().join(first.where("lo < hi"), "sha").where("k <> f.k").select("k", F.lit(True).alias("copy"))
     )
     # every use below reads the same columns of this exchange, and asks nothing of a key before it, so Spark shuffles the texts once
     keyed = texts.select("k", "text", "id", "row").where("k is not null").repartition("k").join(copies, "k", "left")
-    found = "id long, k long, h long, at int, places binary"
+    found = "h long, place binary"
+    head, k, places = (F.expr(f"substring(place, {x})") for x in ("1, 20", "9, 8", "17"))
     alone = keyed.where("copy is null").select("k", "text", "id", "row")
     index = alone.mapInArrow(_index(window, gram), found).where("h is not null").repartition("h")
-    spread = [F.min(F.struct("id", "k", "at")).alias("e"), F.max(F.struct("id", "k", "at")).alias("l"), F.max(F.length("places")).alias("m")]
-    # a row that is there twice is one document: the same (id, k, at) twice is no repeat
-    many = index.groupBy("h").agg(*spread).where("e < l or m > 4").select("h")
-    anchors = index.join(many, "h").groupBy("k").agg(F.collect_set("places").alias("anchors"))
+    spread = [F.min("place").alias("e"), F.max("place").alias("l"), F.max(F.length("place")).alias("m")]
+    # a row that is there twice is one document: the same place twice is no repeat
+    repeated = "substring(e, 1, 20) < substring(l, 1, 20) or m > 20"
+    many = index.groupBy("h").agg(*spread).where(repeated).select("h")
+    anchors = index.join(many, "h").groupBy(k.alias("k")).agg(F.collect_set(places).alias("anchors"))
     windows = alone.join(anchors, "k").select("k", "text", "id", "row", "anchors").mapInArrow(_windows(window, gram), found).where("h is not null").repartition("h")
-    earliest = windows.groupBy("h").agg(*spread).where("e < l or m > 4").select("h", "e")
-    # a window's first place in a text repeats if another text, or the same under another key, has it earlier; its later places always do
+    earliest = windows.groupBy("h").agg(*spread).where(repeated).select("h", F.expr("substring(e, 1, 20)").alias("e"))
+    # a window's first place in a text repeats if another text has it earlier; its later places always do
     starts = (
         windows.join(earliest, "h")
-        .select("k", F.expr("if(struct(id, k, at) > e, places, substring(places, 5))").alias("places"))
+        .select(k.alias("k"), F.when(head > F.col("e"), places).otherwise(F.expr("substring(place, 21)")).alias("places"))
         .where("length(places) > 0")
         .groupBy("k")
         .agg(F.collect_set("places").alias("starts"))
