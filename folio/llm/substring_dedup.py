@@ -183,13 +183,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = "h long, place binary"
     head, k, places = (F.expr(f"substring(place, {x})") for x in ("1, 20", "9, 8", "17"))
     alone = keyed.where("copy is null").select("k", "text", "id", "row")
-    index = alone.mapInArrow(_index(window, gram), found).where("h is not null").repartition("h")
+    # all that later joins ask of a row is asked before the exchange, so that both uses share it
+    solid = "h is not null and substring(place, 9, 8) is not null"
+    index = alone.mapInArrow(_index(window, gram), found).where(solid).repartition("h")
     spread = [F.min("place").alias("e"), F.max("place").alias("l"), F.max(F.length("place")).alias("m")]
     # a row that is there twice is one document: the same place twice is no repeat
     repeated = "substring(e, 1, 20) < substring(l, 1, 20) or m > 20"
     many = index.groupBy("h").agg(*spread).where(repeated).select("h")
     anchors = index.join(many, "h").groupBy(k.alias("k")).agg(F.collect_set(places).alias("anchors"))
-    windows = alone.join(anchors, "k").select("k", "text", "id", "row", "anchors").mapInArrow(_windows(window, gram), found).where("h is not null").repartition("h")
+    windows = alone.join(anchors, "k").select("k", "text", "id", "row", "anchors").mapInArrow(_windows(window, gram), found).where(solid).repartition("h")
     earliest = windows.groupBy("h").agg(*spread).where(repeated).select("h", F.expr("substring(e, 1, 20)").alias("e"))
     # a window's first place in a text repeats if another text has it earlier; its later places always do
     starts = (
