@@ -241,17 +241,17 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         texts.mapInArrow(_prefixes(n, percent, table_), "id long, prefix array<long>")
         .join(reps, "id")
         .select("id", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("tok"))
-        .where("tok is not null")  # as the join below would ask, so that both uses share one exchange
-        .repartition("tok")
     )
-    pivots = postings.groupBy("tok").agg(F.min("id").alias("piv"), F.max("id").alias("last")).where("piv < last").select("tok", "piv")
+    # a list's pivot and neighbours come from one sort of it: a join with the pivots would shuffle all entries once more
+    whole = W.partitionBy("tok")
     by_size = W.partitionBy("tok").orderBy("n", "id")
     # in order of size, the nearest neighbour is the most alike in size; alone beyond the ratio, an entry meets nobody
     # sets of sizes n and m that qualify share 1 + min(n, m) div MORE of the longer prefixes: whoever meets others less often meets none
     least = f"1 + (({percent} * n + 99) div 100) div {MORE}"
     met = (
-        postings.join(pivots, "tok")
-        .withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+        postings.withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+        .withColumns({"piv": F.min("id").over(whole), "last": F.max("id").over(whole)})
+        .where("piv < last")
         .where(f"100 * below >= {percent} * n or 100 * n >= {percent} * above")
         .groupBy("piv", "id", "n")
         .agg(F.count("*").alias("c"))
