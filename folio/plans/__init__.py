@@ -1,0 +1 @@
+from folio.plans import catalog, checks  # noqa: F401  (both register their queries in the catalog)

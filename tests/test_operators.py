@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import text as T
 from folio.operators import analysis as A
+from folio.operators import checks as C
 from folio.operators import graph as G
 from folio.operators import identity as I
 from folio.streaming import accumulate
@@ -69,3 +70,23 @@ def test_span_scores(spark):
     gold = spark.createDataFrame([(1, 0, 5), (1, 10, 12)], "key int, start int, end int")
     found = spark.createDataFrame([(1, 4, 6), (1, 20, 22), (1, 0, 1)], "key int, start int, end int")
     assert A.span_scores(gold, found).first().asDict() == {"gold": 2, "found": 3, "gold_met": 1, "found_good": 2}
+
+
+def test_even_sample_takes_the_stated_places(spark):
+    for n, k in ((3, 12), (12, 12), (29, 12), (100, 7)):
+        rows = spark.createDataFrame([("a", x) for x in range(n)], "key string, x int")
+        got = sorted(r.x for r in C.even_sample(rows, "key", ["x"], k).collect())
+        assert got == sorted({int(i * n / k) for i in range(k)}) if n > k else got == list(range(n))
+
+
+def test_quotes_must_stand_in_a_snippet_of_their_key(spark):
+    quotes = spark.createDataFrame([(1, "“He  left”"), (2, "He left"), (3, " "), (4, None)], "key int, quote string")
+    texts = spark.createDataFrame([(1, 'then "he left" again'), (2, None), (3, "he left"), (4, "x")], "key int, snippet string")
+    assert [r.key for r in C.quoted(quotes, texts, "key").collect()] == [1]
+
+
+def test_batches_by_count_and_size(spark):
+    rows = [("a", 1, 10), ("a", 2, 10), ("a", 3, 10), ("a", 4, 95), ("a", 5, 300), ("b", 6, 1)]
+    df = spark.createDataFrame(rows, "key string, id long, size long")
+    got = {r.id: r.batch for r in C.batches(df, "key", "id", "size", 2, 100).collect()}
+    assert got == {1: 1, 2: 1, 3: 2, 4: 3, 5: 4, 6: 1}
