@@ -11,14 +11,15 @@ Sets of word shingles are joined exactly at ``100 * |A & B| >= percent * |A | B|
   order of size, blocks beyond the size ratio are skipped, and an entry whose neighbours in that order are both
   beyond it leaves its list.
 * **Answers from a similar set.** Sets that meet in a list go to the group of the list's pivot, its smallest id. A group
-  counts one set's overlaps with all others at a time, and derives from these answers what it can of the rest: sets linked
-  to it are connected, so no pair among them is compared; and for any S and R it bounds
+  counts one set's overlaps with all others at a time, and derives from these answers what it can of the rest: they
+  bound ``|S & R| >= |S & P| + |R & P| - |P|``, which settles most pairs of near copies; and for any S and R it bounds
   ``|S & R| <= min(|S & P|, |R & P|) + min(|S - P|, |R - P|)``, which settles most of the others. The next set is the one with
   most open pairs, until no pair is open.
 
 Identical sets are one class (its smallest id stands for it), found by a 128-bit fingerprint. Nothing is capped: lists
 are dealt out by shingle, groups of over ``GROUP`` sets are cut into blocks and each pair of blocks is verified on its
-own, and a group returns a forest over its sets and not the pairs.
+own, and a group returns a forest over its sets and each set's number of links, and not the pairs. A pair is decided in the
+group of the smallest pivot that both sets have; a link to a class counts as often as the class has ids.
 
 Null, empty and blank texts have the empty set and link with nothing; repeated ids are one vertex.
 """
@@ -171,8 +172,50 @@ def forest(sets: list[np.ndarray], sides: np.ndarray | None, percent: int) -> np
         open_ &= np.minimum(shared[:, None], shared[None]) + np.minimum(rest[:, None], rest[None]) >= need
 
 
+def all_links(sets: list[np.ndarray], open_: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs that ``open_`` (symmetric) names qualify; every one of them is decided."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets], np.int64)
+    need = -(-percent * (size[:, None] + size[None]) // (100 + percent))
+    open_ = open_ & (need <= np.minimum(size[:, None], size[None]))
+    np.fill_diagonal(open_, False)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
+    link = np.zeros((n, n), bool)
+    while True:
+        degree = open_.sum(1)
+        p = int(degree.argmax())
+        if not degree[p]:
+            return link
+        at = np.minimum(np.searchsorted(sets[p], flat), size[p] - 1)
+        shared = np.bincount(owner[sets[p][at] == flat], minlength=n)
+        linked = open_[p] & (shared >= need[p])
+        link[p] |= linked
+        link[:, p] |= linked
+        open_[p], open_[:, p] = False, False
+        rest = size - shared
+        sure = open_ & (shared[:, None] + shared[None] - size[p] >= need)  # what both share with P overlaps by so much at least
+        link |= sure
+        open_ &= ~sure & (np.minimum(shared[:, None], shared[None]) + np.minimum(rest[:, None], rest[None]) >= need)
+
+
+def _spanning(link: np.ndarray) -> np.ndarray:
+    """For each vertex the first one that it is connected with."""
+    root = np.full(len(link), -1)
+    for k in range(len(link)):
+        if root[k] < 0:
+            reach = new = np.arange(len(link)) == k
+            while new.any():
+                new = link[new].any(0) & ~reach
+                reach = reach | new
+            root[reach] = k
+    return root
+
+
 def _verify(n: int, percent: int):
-    """Rows of a bucket, texts (packed) and places (piv, i, j, own) -> (a, b) links that connect what qualifies."""
+    """Rows of a bucket, texts (packed, pivs, w) and places (piv, i, j, own) -> (a, b) that connect what qualifies, and (a, no b, links).
+
+    A pair is decided in the group of the smallest pivot that both have, so it is counted once.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
         whole = pa.compute.is_valid(rows.column("packed"))
@@ -180,24 +223,42 @@ def _verify(n: int, percent: int):
         expand = zstandard.ZstdDecompressor().decompress
         plain = pa.array([expand(t).decode() for t in texts.column("packed").to_pylist()], pa.large_string())
         sets = dict(zip(texts.column("id").to_pylist(), shingle_sets(plain, n)))
+        pivots = dict(zip(texts.column("id").to_pylist(), texts.column("pivs").to_pylist()))
+        weight = dict(zip(texts.column("id").to_pylist(), texts.column("w").to_pylist()))
         groups: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
         for piv, i, j, own, x in zip(*(places.column(c).to_pylist() for c in ("piv", "i", "j", "own", "id"))):
             groups.setdefault((piv, i, j), []).append((x, own))
-        a, b = [], []
-        for (_, i, j), members in groups.items():
+        a, b, count = [], [], []
+        for (piv, i, j), members in groups.items():
             members.sort()
             ids = [x for x, _ in members]
-            root = forest([sets[x] for x in ids], None if i == j else np.array([o == j for _, o in members]), percent)
+            side = np.array([o == j for _, o in members])
+            open_ = np.ones((len(ids), len(ids)), bool) if i == j else side[:, None] != side[None]
+            earlier: dict[int, list[int]] = {}
+            for k, x in enumerate(ids):
+                for p in pivots[x]:
+                    if p < piv:
+                        earlier.setdefault(p, []).append(k)
+            for same in earlier.values():
+                open_[np.ix_(same, same)] = False
+            link = all_links([sets[x] for x in ids], open_, percent)
+            root = _spanning(link)
             for x in np.flatnonzero(root != np.arange(len(ids))).tolist():
                 a.append(ids[x])
                 b.append(ids[root[x]])
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                count.append(0)
+            links = link @ np.array([weight[x] for x in ids], np.int64)
+            for x in np.flatnonzero(links).tolist():
+                a.append(ids[x])
+                b.append(None)
+                count.append(int(links[x]))
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(count, pa.int64())], names=["a", "b", "links"])
 
     return run
 
 
-def _links(texts: DataFrame, meets: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): links among the sets that ``meets(piv, id)`` brings together, enough to connect all that qualify."""
+def _links(texts: DataFrame, meets: DataFrame, weights: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): links among the sets that ``meets(piv, id)`` brings together, enough to connect all that qualify; (a, no b, links): counts by ``weights(id, w)``."""
     k = meets.groupBy("piv").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("k"))
     total = meets.join(k, "piv").agg(F.sum("k")).first()[0] or 0
     places = (
@@ -213,15 +274,15 @@ def _links(texts: DataFrame, meets: DataFrame, n: int, percent: int) -> DataFram
     wanted[meets.select(bit.alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
     kernel = _involved(texts.sparkSession.sparkContext.broadcast(wanted))
     packed = texts.where("id is not null").select("id", bit.alias("bit"), "text").mapInArrow(kernel, "id long, packed binary")
-    needed = places.select("bucket", "id").distinct().join(packed, "id")
+    needed = places.select("bucket", "id").distinct().join(packed, "id").join(meets.groupBy("id").agg(F.collect_set("piv").alias("pivs")), "id").join(weights, "id")
     none = F.lit(None)
-    rows = needed.select("bucket", *(none.cast(t).alias(c) for c, t in (("piv", "long"), ("i", "int"), ("j", "int"), ("own", "int"))), "id", "packed")
-    rows = rows.union(places.select("bucket", "piv", "i", "j", "own", "id", none.cast("binary")))
-    return rows.groupBy("bucket").applyInArrow(_verify(n, percent), "a long, b long")
+    rows = needed.select("bucket", *(none.cast(t).alias(c) for c, t in (("piv", "long"), ("i", "int"), ("j", "int"), ("own", "int"))), "id", "packed", "pivs", "w")
+    rows = rows.union(places.select("bucket", "piv", "i", "j", "own", "id", none.cast("binary"), none.cast("array<long>"), none.cast("long")))
+    return rows.groupBy("bucket").applyInArrow(_verify(n, percent), "a long, b long, links long")
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """(id_col, n_shingles, component_id) for every row of ``docs``."""
+    """(id_col, n_shingles, n_links, component_id) for every row of ``docs``; links are those to other ids."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     profile = checkpoint(texts.mapInArrow(_profile(n), "kind int, key long, n long, one long, two long"))
@@ -233,8 +294,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = np.argsort(keys)
     table_ = spark.sparkContext.broadcast((keys[order], np.array([r.w for r in heavy], np.int64)[order]))
 
-    classes = sizes.where("n > 0 and id is not null").groupBy("n", "one", "two").agg(F.min("id").alias("rep"))
-    members = sizes.join(classes, ["n", "one", "two"], "left").select("id", "n", "rep")
+    classes = sizes.where("n > 0 and id is not null").groupBy("n", "one", "two").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("w"))
+    members = sizes.join(classes, ["n", "one", "two"], "left").select("id", "n", "rep", "w")
 
     reps = classes.select(F.col("rep").alias("id"), "n")
     postings = (
@@ -260,9 +321,15 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     meets = checkpoint(met.select("piv", "id"))
     alone = meets.groupBy("piv").agg(F.count("*").alias("c")).where("c > 1").select("piv")
-    found = connected_components(_links(texts, checkpoint(meets.join(alone, "piv")), n, percent))
-    return members.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id")
+    weights = classes.select(F.col("rep").alias("id"), "w")
+    links = checkpoint(_links(texts, checkpoint(meets.join(alone, "piv")), weights, n, percent))
+    found = connected_components(links.where("b is not null").select("a", "b"))
+    counts = links.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
+    return members.join(found.withColumnRenamed("id", "rep"), "rep", "left").join(counts, "rep", "left").select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.expr("if(id is null, 0, coalesce(links, 0) + coalesce(w - 1, 0))").alias("n_links"),
+        F.coalesce("component", "rep", "id").alias("component_id"),
     )
 
 

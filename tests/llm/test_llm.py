@@ -91,6 +91,18 @@ def test_ngram_join(docs, n, percent):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == {(i, len(s), want[i]) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("group", [500, 3])
+def test_ngram_join_counts_all_links(spark, monkeypatch, group):
+    monkeypatch.setattr(ngram_join, "GROUP", group)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(d, " ".join(base[:d] + [f"x{d}"] + base[d + 1 :])) for d in range(0, 60, 6)]  # near copies of one text
+    rows += [(100, " ".join(base)), (101, " ".join(base)), (101, " ".join(base)), (200, " ".join(base[::-1])), (300, "")]
+    sets = {d: {tuple(t.split()[k : k + 2]) for k in range(len(t.split()) - 1)} for d, t in rows}
+    want = {a: sum(a != b and bool(x) and 100 * len(x & y) >= 90 * len(x | y) for b, y in sets.items()) for a, x in sets.items()}
+    got = ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, SCHEMA), n=2, percent=90).collect()
+    assert max(want.values()) > 2 and len(got) == len(rows) and {r.doc_id: r.n_links for r in got} == want
+
+
 def test_forest_cuts_no_link():
     rnd = random.Random(5)
     for _ in range(30):
