@@ -10,11 +10,14 @@ merge cannot open a pair of lower rank (a test checks this of the file).
 
 **Decoding.** Rows ``(run, place, id)`` join the vocabulary and an ordered aggregation puts the bytes together.
 
-Tasks remember pieces and runs (``pieces.Ragged``, bounded), as words repeat; DuckDB runs on one
+Tasks remember pieces and runs (``pieces.Ragged``, bounded, with a comparison of bytes), as words repeat; every word that is
+not remembered goes through the recursive query, vocabulary entries too. DuckDB runs on one
 thread with a fixed memory limit, and words go in by the ten thousand. The merge table has a fixed
 size, given by the vocabulary file, whose path is a parameter and must be readable on every executor.
 
-Null and empty texts have no ids. An id that the vocabulary lacks raises an error when decoding.
+Null and empty texts have no ids; a very long text is worked on by its pieces. Ties cannot occur (a rank belongs to one pair),
+repeated rows give repeated results, null ids stay null, extra columns are not looked at, an empty table gives an empty one.
+An id that the vocabulary lacks raises an error when decoding.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import combine, list_parts, mix64, slices, table
+from folio.llm.common import hash_runs, list_parts, slices, table
 from folio.llm.pieces import Pieces, Ragged
 
 ROWS = 200_000  # token-position rows in one recursive query
@@ -88,20 +91,6 @@ class Coder:
 
     def contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids, ids) of pre-tokens, by the recursive query."""
-        known = [self.ranks.get(w) for w in words]  # a token encodes to itself
-        if None not in known:
-            return np.ones(len(words), np.int64), np.array(known, np.int32)
-        rest = [w for w, r in zip(words, known) if r is None]
-        some, ids = self._contract(rest)
-        sizes = np.ones(len(words), np.int64)
-        unknown = np.array([r is None for r in known])
-        sizes[unknown] = some
-        out = np.empty(int(sizes.sum()), np.int32)
-        long = np.repeat(unknown, sizes)
-        out[long], out[~long] = ids, [r for r in known if r is not None]
-        return sizes, out
-
-    def _contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes, ids, i = np.zeros(len(words), np.int64), [], 0
         length = np.array([len(w) for w in words], np.int64)
         ends = np.cumsum(length)
@@ -124,28 +113,25 @@ class Coder:
         def whole(places: np.ndarray):
             parts = [self.pattern.findall(p.word(k).decode()) for k in places]
             flat = [w.encode() for x in parts for w in x]
-            # hash() is good within one process, and the result is remembered there only
-            values, size = self.words.gather(np.fromiter(map(hash, flat), np.int64, len(flat)).view(np.uint64), lambda new: self.contract([flat[k] for k in new]))
+            text, stop = np.frombuffer(b"".join(flat), np.uint8), np.cumsum([len(w) for w in flat], dtype=np.int64)
+            begin = stop - np.array([len(w) for w in flat], np.int64)
+            values, size = self.words.gather(hash_runs(text, begin, stop), text, begin, stop, lambda new: self.contract([flat[k] for k in new]))
             ends = np.concatenate([[0], np.cumsum(size)])
             at = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
             return np.diff(ends[at]), values
 
-        ids, size = self.texts.gather(p.hashes(lower=False), whole)
+        ids, size = self.texts.gather(p.hashes(lower=False), p.data, p.start, p.end, whole)
         return ids, np.concatenate([[0], np.cumsum(size)])[p.at]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all texts, offsets of each text's bytes) of ragged ids."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.opens)):
+            raise ValueError("an id that the vocabulary lacks")
         cut = np.append(self.opens[ids], True)
         cut[offsets] = True
         start = np.flatnonzero(cut[: len(ids)])
         end = np.append(start[1:], len(ids))[: len(start)]
-        total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(ids.astype(np.uint64) + np.uint64(1)))])
-        spread = np.zeros(len(start), np.uint64)  # order matters: each id is weighted by its place in the run
-        longest = int((end - start).max()) if len(start) else 0
-        for k in range(longest):
-            some = np.flatnonzero(end - start > k)
-            spread[some] = mix64(spread[some] * np.uint64(0xA0761D6478BD642F) + ids[start[some] + k].astype(np.uint64) + np.uint64(1))
-        keys = mix64(spread + (total[end] - total[start]))
+        raw = np.ascontiguousarray(ids, "<i4").view(np.uint8)
 
         def whole(places: np.ndarray):
             size = (end - start)[places]
@@ -154,13 +140,13 @@ class Coder:
             self.db.register("ids", pa.table({"run": run, "place": place, "id": ids[start[places][run] + place].astype(np.int32)}))
             done = self.db.sql(DECODE).to_arrow_table()
             texts = [t.encode("latin-1") for t in done.column("text").to_pylist()]
-            if len(texts) < len(places) or ids.min() < 0 or ids.max() >= len(self.opens):
+            if len(texts) < len(places):
                 raise ValueError("an id that the vocabulary lacks")
             return np.array([len(t) for t in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8)
 
         if not len(ids):
             return np.zeros(0, np.uint8), np.zeros(len(offsets), np.int64)
-        data, size = self.runs.gather(keys, whole)
+        data, size = self.runs.gather(hash_runs(raw, 4 * start, 4 * end), raw, 4 * start, 4 * end, whole)
         return data, np.concatenate([[0], np.cumsum(size)])[np.searchsorted(start, offsets)]
 
 

@@ -2,34 +2,37 @@
 Arrow buffers, and connected components.
 
 A *word* is a maximal run of bytes outside ``\\x20\\x09-\\x0D``. Words are hashed straight from
-the UTF-8 buffer of an Arrow column (no Python object per word): a polynomial over a table of 256
-random 64-bit values, finished by a bit mixer. Two different words share a hash with a chance of
-about 2**-64. Byte work is done in blocks of about a megabyte, so that a very long text costs
-eight bytes a word and not a multiple of its length.
+the UTF-8 buffer of an Arrow column (no Python object per word), eight bytes at a time: each block is
+xored into the state and mixed before the next one, so that no sum or power of bytes can cancel.
+Different words share a hash with a chance of about 2**-64; whoever remembers results by such a hash
+compares the bytes before use (``same_runs``).
 """
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 21  # text worked on at a time
-BLOCK_BYTES = 1 << 20  # bytes hashed at a time
+LONG_RUN = 64  # bytes; longer runs are hashed and compared one by one
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set, as in tests."""
+    """The folder that driver and executors share. Where none is set, a local session uses its warehouse; a cluster is an error."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folio-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return sc.getCheckpointDir()
 
 
@@ -39,6 +42,43 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def hot_join(big: DataFrame, small: DataFrame, keys: list[str], count: str, by: str, how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small`` (one row for each key, ``count`` its rows in ``big``) without one task for a hot key.
+
+    A key with over a 500th of all rows is salted: its row in ``small`` is repeated, its rows in ``big`` are dealt out by the
+    hash of the column ``by``. There are at most 500 such keys, so their broadcast is bounded.
+    """
+    total = small.agg(F.sum(count)).first()[0] or 0
+    share = max(1, total // 500)
+    salts = F.ceil(F.col(count) / share).cast("int")
+    hot = small.where(F.col(count) > share).select(*keys, salts.alias("__salts"))
+    spread = F.coalesce(F.pmod(F.xxhash64(by), F.col("__salts")).cast("int"), F.lit(0))
+    dealt = big.join(F.broadcast(hot), keys, "left").withColumn("__salt", spread).drop("__salts")
+    repeated = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.when(F.col(count) > share, salts - 1).otherwise(F.lit(0)))))
+    return dealt.join(repeated, [*keys, "__salt"], how).drop("__salt")
+
+
+def heaviest(df: DataFrame, weight: str, most: int) -> DataFrame:
+    """Rows of ``df`` with the largest weights (1 or more), ``most`` of them at most: all above a least weight.
+
+    The least weight comes from a histogram in eighths of powers of two, so that no task and no driver sorts rows.
+    """
+    bucket = F.floor(8 * F.log2(weight)).cast("int")
+    counts = {r.b: r.n for r in df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect() if r.b is not None}  # some 500 rows
+    taken, least = 0, None
+    for b in sorted(counts, reverse=True):
+        taken += counts[b]
+        if taken > most:
+            break
+        least = b
+    return df.where(bucket >= least) if least is not None else df.where("false")
+
+
+def hashed_share(column: str, share: float):
+    """Condition that holds for about this share of a column's values, by their hash."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << 40)) < int(min(1.0, share) * (1 << 40))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -54,22 +94,50 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, BLOCK_BYTES + 4096)
-        for key, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            x = np.full(size, base & _MASK, dtype=np.uint64)
-            x[0] = 1
-            _POWERS[key] = np.cumprod(x, dtype=np.uint64)
-    return _POWERS["up"], _POWERS["down"]
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [_MASK], dtype=np.uint64)  # the first k of eight bytes
+
+
+def _padded(data: np.ndarray) -> np.ndarray:
+    """Every eight bytes of ``data`` as one number, by the place of the first; behind the end are zeros."""
+    room = np.zeros(len(data) + 8, np.uint8)
+    room[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", room, strides=(1,))
+
+
+def hash_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each run: eight bytes at a time through a multiply and xor chain; long runs by XXH3."""
+    size = end - start
+    out = mix64(size.astype(np.uint64) * np.uint64(_BASE) + np.uint64(0x2545F4914F6CDD1D))
+    eight = _padded(data)
+    some = np.flatnonzero((size > 0) & (size <= LONG_RUN))
+    at = 0
+    while len(some):
+        block = eight[start[some] + at] & _KEEP[np.minimum(size[some] - at, 8)]
+        out[some] = mix64((out[some] ^ block) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(_BASE))
+        at += 8
+        some = some[size[some] > at]
+    for k in np.flatnonzero(size > LONG_RUN).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[start[k] : end[k]])
+    return out
+
+
+def same_runs(a: np.ndarray, a_start: np.ndarray, b: np.ndarray, b_start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether ``size`` bytes of ``a`` and of ``b`` are the same, for each pair of runs."""
+    out = np.ones(len(size), bool)
+    left, right = _padded(a), _padded(b)
+    some, at = np.flatnonzero((size > 0) & (size <= LONG_RUN)), 0
+    while len(some):
+        keep = _KEEP[np.minimum(size[some] - at, 8)]
+        out[some] &= (left[a_start[some] + at] & keep) == (right[b_start[some] + at] & keep)
+        at += 8
+        some = some[size[some] > at]
+    for k in np.flatnonzero(size > LONG_RUN).tolist():
+        out[k] = np.array_equal(a[a_start[k] : a_start[k] + size[k]], b[b_start[k] : b_start[k] + size[k]])
+    return out
 
 
 class Words:
@@ -92,19 +160,7 @@ class Words:
         self.at = np.searchsorted(self.start, offsets)
 
     def hashes(self, lower: bool) -> np.ndarray:
-        out = np.empty(len(self.start), dtype=np.uint64)
-        i = 0
-        while i < len(out):
-            first = self.start[i]
-            j = max(i + 1, int(np.searchsorted(self.end, first + BLOCK_BYTES, side="right")))
-            part = self.data[first : self.end[j - 1]]
-            up, down = _powers(len(part))
-            run = np.zeros(len(part) + 1, dtype=np.uint64)
-            np.cumsum(_TABLE[_LOWER[part] if lower else part] * up[: len(part)], out=run[1:])
-            s, e = self.start[i:j] - first, self.end[i:j] - first
-            out[i:j] = mix64((run[e] - run[s]) * down[s] + (e - s).astype(np.uint64))
-            i = j
-        return out
+        return hash_runs(_LOWER[self.data] if lower else self.data, self.start, self.end)
 
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()

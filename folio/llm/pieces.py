@@ -6,8 +6,9 @@ space always starts a token: a text may be cut in front of it, and its pieces (m
 word with its punctuation) are encoded one by one with the same result. What could be Unicode
 white space next to the space forbids the cut, which costs time and changes nothing.
 
-``Ragged`` keeps results as one array and finds them by a piece's 64-bit hash. It holds up to
-``limit`` pieces and starts anew beyond that, so its memory is bounded; it never changes a result.
+``Ragged`` keeps results as one array and finds them by a piece's 64-bit hash; it keeps the pieces' bytes as well and
+compares them before it gives a result, so pieces with one hash never get each other's. It holds up to
+``limit`` pieces and starts anew beyond that, so its memory is bounded.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from folio.llm.common import Words
+from folio.llm.common import Words, same_runs
 
 _ASCII_WS = np.zeros(256, dtype=bool)
 _ASCII_WS[[0x20, *range(0x09, 0x0E)]] = True
@@ -53,10 +54,12 @@ class Ragged:
 
     def clear(self) -> None:
         self.key = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.int64)  # where a piece's result starts, and its size
         self.size = np.zeros(0, np.int64)
-        self.values = np.zeros(1 << 12, self.kind)
-        self.used = 0
+        self.begin = np.zeros(0, np.int64)  # where its bytes start, and their number
+        self.length = np.zeros(0, np.int64)
+        self.values, self.used = np.zeros(1 << 12, self.kind), 0
+        self.bytes, self.filled = np.zeros(1 << 12, np.uint8), 0
 
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.key):
@@ -64,27 +67,46 @@ class Ragged:
         at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
         return at, self.key[at] == keys
 
-    def gather(self, hashes: np.ndarray, make: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        """(values of all pieces in order, size of each). ``make(places)``: (sizes, values) of new ones, by their place in ``hashes``."""
+    def _remember(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, length: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> None:
+        self.values, first = _appended(self.values, self.used, values), self.used + np.cumsum(sizes) - sizes
+        own = data[np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))]
+        self.bytes, begin = _appended(self.bytes, self.filled, own), self.filled + np.cumsum(length) - length
+        self.used, self.filled = self.used + len(values), self.filled + len(own)
+        key = np.concatenate([self.key, keys])
+        order = np.argsort(key, kind="stable")
+        self.key = key[order]
+        for name, more in (("first", first), ("size", sizes), ("begin", begin), ("length", length)):
+            setattr(self, name, np.concatenate([getattr(self, name), more])[order].astype(np.int64))
+
+    def gather(
+        self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray, make: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(values of all pieces in order, size of each). Piece ``i`` is ``data[start[i]:end[i]]``; ``make(places)`` gives (sizes, values) of new ones."""
+        length = end - start
         keys, place, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.key) + len(keys) > self.limit:
             self.clear()
         _, known = self._find(keys)
         if not known.all():
-            sizes, values = make(place[~known])
-            while self.used + len(values) > len(self.values):
-                self.values = np.concatenate([self.values, np.zeros(len(self.values), self.kind)])
-            self.values[self.used : self.used + len(values)] = values
-            first = self.used + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            self.used += len(values)
-            key = np.concatenate([self.key, keys[~known]])
-            order = np.argsort(key, kind="stable")
-            self.key, self.first, self.size = (
-                key[order],
-                np.concatenate([self.first, first])[order],
-                np.concatenate([self.size, sizes]).astype(np.int64)[order],
-            )
-        at, _ = self._find(keys)
-        first, size = self.first[at][back], self.size[at][back]
+            new = place[~known]
+            sizes, values = make(new)
+            self._remember(keys[~known], data, start[new], length[new], np.asarray(sizes, np.int64), values)
+        at = self._find(keys)[0][back]
+        first, size = self.first[at], self.size[at]
+        same = self.length[at] == length
+        same[same] = same_runs(data, start[same], self.bytes[: self.filled], self.begin[at[same]], length[same])
+        values = self.values
+        if not same.all():  # another piece with the same hash: its own result, which nobody remembers
+            odd = np.flatnonzero(~same)
+            sizes, own = make(odd)
+            first[odd], size[odd] = self.used + np.cumsum(sizes) - sizes, sizes
+            values = np.concatenate([self.values[: self.used], own])
         before = np.cumsum(size) - size
-        return self.values[np.repeat(first - before, size) + np.arange(int(size.sum()))], size
+        return values[np.repeat(first - before, size) + np.arange(int(size.sum()))], size
+
+
+def _appended(room: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    if used + len(more) > len(room):
+        room = np.concatenate([room[:used], np.zeros(max(used, len(more)) + len(more), room.dtype)])
+    room[used : used + len(more)] = more
+    return room

@@ -101,7 +101,6 @@ class Library:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known = Ragged(np.uint32)
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
@@ -131,7 +130,7 @@ class Library:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = Pieces(data, offsets)
-        ids, size = self.known.gather(p.hashes(lower=False), lambda places: self._whole(p, places))
+        ids, size = self.known.gather(p.hashes(lower=False), p.data, p.start, p.end, lambda places: self._whole(p, places))
         return ids, np.concatenate([[0], np.cumsum(size)])[p.at]
 
 
