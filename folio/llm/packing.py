@@ -1,54 +1,89 @@
 """Variable-capacity best-fit packing (op 4).
 
-Documents become sequences of permitted lengths (``SIZES`` tokens). A document longer than the largest is cut
-into pieces of that length; nothing is dropped. Pieces are dealt by hash into shards of about
-``SHARD`` pieces, so no task packs more than that, whatever the input or a repeated id.
+Documents become sequences of permitted lengths (``SIZES`` tokens). A document's length is the number of its byte-level BPE ids
+(``byte_bpe``) and one end. One longer than the largest length is cut into pieces of that length; nothing is dropped. Pieces are
+dealt by hash into shards of about ``SHARD`` pieces, so no task packs more than that at a time, whatever the input or a repeated id.
 
 In a shard, pieces go longest first into the open bin with the least room that holds them; if none does, a bin is
-opened. The permitted lengths are optimised jointly: for every subset that the lengths up to one of them form, the
-shard is packed with openings at the least-cost length (cost for each token of room, where a bin costs its length
-plus ``OVERHEAD``) among those that hold the piece and belong to the subset (or the least that holds it at all); then
-each bin shrinks to the smallest permitted length that holds its contents, and the subset with the lowest total cost wins.
-
-A null or empty text is one token, its end. Ties are broken by id, piece and row, so a shard's result depends on its
-pieces only.
+opened. The permitted lengths are optimised jointly:
+
+* **Opening.** A bin of length ``s`` costs ``s + s * s / SPAN + OVERHEAD``: its tokens, attention among them, and its handling, so
+  neither the shortest nor the longest length is the cheapest for a token. Of a bin's room beside the piece only that counts as used which pieces still to
+  come can fill: those short enough for the room, less what the room of the open bins takes of them. The length with the least cost for
+  each used token is opened: with many short pieces to come the cheapest that holds the piece, with few of them the tightest.
+* **Subsets.** That is done for every subset of the lengths that holds the longest piece, and the subset with the lowest total
+  cost after downsizing wins. A smaller subset can win, since an opening does not foresee the order of the pieces.
+* **Downsizing.** Each bin shrinks to the smallest permitted length that holds its contents.
+
+A null or empty text is one token, its end. Rows with one id and text are alike: they are counted and numbered, so which of them
+is in which bin means nothing. Ties are broken by id, the text's hash, number and piece, so bins do not depend on how the table is
+dealt out. Null ids are packed as an id of their own; of extra columns none is read; an empty table gives no piece.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import Words, checkpoint, slices, table
+from folio.llm.byte_bpe import coder
+from folio.llm.common import checkpoint, slices, table
 
 SIZES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 32
-SHARD = 20_000
+SPAN = 32_768  # tokens over which attention costs as much as all else of a token
+SHARD = 10_000
+COPIES = 10_000  # alike rows that one row is spread into at a time
+
+
+def _lengths(path: str, pattern: str):
+    """(id, key, text) -> (id, key, n): BPE ids and one end."""
+
+    def run(batches):
+        c = coder(path, pattern)
+        for batch in batches:
+            n = [np.diff(c.encode(data, offsets)[1]) + 1 for _, _, data, offsets in slices(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(n) if n else [], pa.int64())], names=["id", "key", "n"])
+
+    return run
 
 
-def _lengths(batches):
-    """(id, text) -> (id, n): words and one end."""
-    for batch in batches:
-        n = [np.diff(Words(data, offsets).at) + 1 for _, _, data, offsets in slices(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n) if n else [], pa.int64())], names=["id", "n"])
+def cost(size: int, overhead: int = OVERHEAD) -> float:
+    return size + size * size / SPAN + overhead
 
 
-def _opening(n: int, sizes: tuple[int, ...], top: int, overhead: int) -> int:
-    """The length of a bin opened for a piece of ``n`` when lengths up to ``top`` are in the subset."""
-    fit = [s for s in sizes if n <= s <= top]
-    return min(fit, key=lambda s: ((s + overhead) / s, s)) if fit else sizes[bisect_left(sizes, n)]
+class Supply:
+    """Tokens of the pieces still to come, by length; pieces come longest first."""
 
+    def __init__(self, lengths: list[int], top: int):
+        self.count = np.bincount(lengths, minlength=top + 1)
+        self.tokens = np.cumsum(self.count * np.arange(top + 1)).tolist()  # of pieces up to a length
 
-def best_fit(lengths: list[int], sizes: tuple[int, ...], top: int, overhead: int) -> tuple[list[int], list[int]]:
-    """(bin of each piece, contents of each bin). ``lengths`` descend."""
-    by_room: list[list[int]] = [[] for _ in range(sizes[-1] + 1)]
+    def useful(self, room: int, n: int, left: int, taken: int) -> int:
+        """Tokens of ``room`` that pieces after the one of ``n`` can fill; ``left``: tokens of all of those, ``taken``: room of open bins."""
+        return max(0, min(room, min(self.tokens[min(room, n)], left) - taken))
+
+
+def opening(n: int, subset: tuple[int, ...], overhead: int, useful) -> int:
+    """The length of ``subset`` that costs least for each token of it that gets used by a piece of ``n`` and those to come."""
+    fit = subset[bisect_left(subset, n) :]
+    return min(fit, key=lambda s: (cost(s, overhead) / (n + useful(s - n)), s))
+
+
+def best_fit(lengths: list[int], subset: tuple[int, ...], overhead: int) -> tuple[list[int], list[int]]:
+    """(bin of each piece, contents of each bin). ``lengths`` descend and the longest fits."""
+    top = subset[-1]
+    supply = Supply(lengths, top)
+    by_room: list[list[int]] = [[] for _ in range(top + 1)]
     rooms = 0  # bit r: some open bin has room r
     of, filled = [], []
+    left, free = sum(lengths), 0
     for n in lengths:
+        left -= n
         wide = rooms >> n
         if wide:
             room = n + (wide & -wide).bit_length() - 1
@@ -56,9 +91,11 @@ def best_fit(lengths: list[int], sizes: tuple[int, ...], top: int, overhead: int
             if not by_room[room]:
                 rooms &= ~(1 << room)
             room -= n
+            free -= n
             filled[b] += n
         else:
-            b, room = len(filled), _opening(n, sizes, top, overhead) - n
+            b, room = len(filled), opening(n, subset, overhead, lambda r, n=n: supply.useful(r, n, left, free)) - n
+            free += room
             filled.append(n)
         of.append(b)
         if room:
@@ -67,59 +104,78 @@ def best_fit(lengths: list[int], sizes: tuple[int, ...], top: int, overhead: int
     return of, filled
 
 
+def subsets(sizes: tuple[int, ...], longest: int) -> list[tuple[int, ...]]:
+    """All that hold the longest piece, small ones first."""
+    return [c for k in range(1, len(sizes) + 1) for c in combinations(sizes, k) if c[-1] >= longest]
+
+
 def pack(lengths: list[int], sizes: tuple[int, ...] = SIZES, overhead: int = OVERHEAD) -> tuple[list[int], list[int]]:
-    """(bin of each piece, final length of each bin), over the cheapest subset of lengths."""
+    """(bin of each piece, final length of each bin), over the cheapest subset of lengths; the first of several."""
     best = None
-    for top in sizes:
-        of, filled = best_fit(lengths, sizes, top, overhead)
+    for subset in subsets(sizes, lengths[0]):
+        of, filled = best_fit(lengths, subset, overhead)
         final = [sizes[bisect_left(sizes, f)] for f in filled]
-        cost = sum(final) + overhead * len(final)
-        if best is None or cost < best[0]:
-            best = (cost, of, final)
+        total = sum(cost(s, overhead) for s in final)
+        if best is None or total < best[0]:
+            best = (total, of, final)
     return best[1], best[2]
 
 
+ORDER = ("n", "id", "key", "copy", "piece")
+
+
 def _pack_shard(sizes: tuple[int, ...], overhead: int):
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("n", "descending"), ("id", "ascending"), ("piece", "ascending"), ("row", "ascending")])
-        of, final = pack(rows.column("n").to_pylist(), sizes, overhead)
+        rows = rows.sort_by([(c, "descending" if c == "n" else "ascending") for c in ORDER])
+        lengths = rows.column("n").to_pylist()
+        of, final = pack(lengths, sizes, overhead)
         at, start = [0] * len(final), []
-        for b, n in zip(of, rows.column("n").to_pylist()):
+        for b, n in zip(of, lengths):
             start.append(at[b])
             at[b] += n
-        return pa.table(
-            {
-                "id": rows.column("id"),
-                "piece": rows.column("piece"),
-                "first": rows.column("first"),
-                "n": rows.column("n"),
-                "shard": rows.column("shard"),
-                "bin": pa.array(of, pa.int32()),
-                "bin_start": pa.array(start, pa.int32()),
-                "bin_size": pa.array([final[b] for b in of], pa.int32()),
-            }
-        )
+        columns = {c: rows.column(c) for c in ("id", "piece", "first", "n", "shard")}
+        return pa.table(columns | {"bin": pa.array(of, pa.int32()), "bin_start": pa.array(start, pa.int32()), "bin_size": pa.array([final[b] for b in of], pa.int32())})
 
     return run
 
 
-def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sizes: tuple[int, ...] = SIZES, overhead: int = OVERHEAD, shard: int = SHARD) -> DataFrame:
-    """(id_col, piece, first_token, n_tokens, bin_id, bin_start, bin_size): one row for each piece of each row of ``docs``."""
+def best_fit_packing(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    sizes: tuple[int, ...] = SIZES,
+    overhead: int = OVERHEAD,
+    shard: int = SHARD,
+) -> DataFrame:
+    """(id_col, piece, first_token, n_tokens, bin_id, bin_start, bin_size): one row for each piece of each row of ``docs``.
+
+    ``path`` and ``pattern``: the BPE ranks and pre-token pattern that lengths are counted by.
+    """
     sizes = tuple(sorted(set(sizes)))
     top = sizes[-1]
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    lengths = checkpoint(texts.mapInArrow(_lengths, "id long, n long").withColumn("row", F.monotonically_increasing_id()))
-    pieces = lengths.agg(F.sum(F.ceil(F.col("n") / top))).first()[0] or 0
-    shards = max(1, -(-pieces // shard))
-    dealt = lengths.select(
-        "id", "row", F.col("n").alias("whole"), F.explode(F.expr(f"sequence(0, cast(ceil(n / {top}) as int) - 1)")).alias("piece")
-    ).select(
-        "id",
-        "row",
-        "piece",
-        (F.col("piece").cast("long") * top).alias("first"),
-        F.least(F.lit(top), F.col("whole") - F.col("piece").cast("long") * top).cast("int").alias("n"),
-        F.expr(f"cast(pmod(xxhash64(id, piece, row), {shards}) as int)").alias("shard"),
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text.alias("text"))
+    counted = texts.mapInArrow(_lengths(path, pattern), "id long, key long, n long")
+    lengths = checkpoint(counted.groupBy("id", "key", "n").agg(F.count("*").alias("copies")))
+    pieces = lengths.agg(F.sum(F.expr(f"copies * ceil(n / {top})"))).first()[0] or 0
+    shards = max(1, -(-int(pieces) // shard))
+    dealt = (
+        lengths.withColumn("block", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES})")))
+        .withColumn("copy", F.explode(F.expr(f"sequence(block * {COPIES}, least(copies, (block + 1) * {COPIES}) - 1)")))
+        .withColumn("piece", F.explode(F.expr(f"sequence(0, cast(ceil(n / {top}) as int) - 1)")))
+        .select(
+            "id",
+            "key",
+            "copy",
+            "piece",
+            (F.col("piece").cast("long") * top).alias("first"),
+            F.least(F.lit(top), F.col("n") - F.col("piece").cast("long") * top).cast("int").alias("n"),
+            F.expr(f"cast(pmod(xxhash64(id, key, copy, piece), {shards}) as int)").alias("shard"),
+        )
+        # a number of its own keeps small rows with long work from being put together into a few tasks
+        .repartition(max(1, min(shards, 100_000)), "shard")
     )
     schema = "id long, piece int, first long, n int, shard int, bin int, bin_start int, bin_size int"
     return (
@@ -137,6 +193,13 @@ def best_fit_packing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
+def pack_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` by the public 50k ranks."""
+    import public_tokenizers
+
+    return best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op4: every text of ``documents``; a token is a word, and each document has one end token."""
-    return best_fit_packing(table(spark, sf_dir, "documents"))
+    """op4: every text of ``documents``, measured in ids of op 2."""
+    return pack_documents(table(spark, sf_dir, "documents"))
