@@ -13,14 +13,17 @@ nothing within ``delta`` is lost:
   at most ``delta + e`` away are reranked.
 * **Rerank.** The exact cosine decides.
 
-Centroids and codebooks are fitted on ``SAMPLE`` vectors (by hash of the id); all vectors are indexed. The number
+Centroids and codebooks are fitted on about ``SAMPLE`` vectors (a share by hash of the id); all vectors are indexed. The number
 of lists follows the number of vectors. Equal vectors of one label are one entry with a multiplicity. A
 long list is cut into blocks of ``BLOCK`` rows, and each pair of a query block and an index block is a task
 group of its own, so a hot list or a large group of near copies needs no large task. A group returns its
 link counts and a spanning forest of its links, not the links: rows grow with vectors and not with pairs.
 
 Vectors that are null, empty, zero or hold a null or non-finite component, and those without a label, link with nothing.
-Vectors of different lengths don't link. A repeated id is one vertex; its rows' links add up.
+Vectors of different lengths don't link. Labels are compared as text, components keep their precision. A repeated id is one
+vertex; its rows' links add up. Rows without an id link with nothing. Ties at the threshold link. Of extra columns none is read,
+whatever its name; an empty table gives an empty one. There are ``MAX_LISTS`` lists at most, so above two million different vectors
+a list, and the work for a vector, grows with the table.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import checkpoint, connected_components, list_parts, table
+from folio.llm.common import checkpoint, connected_components, hashed_share, hot_join, list_parts, table
 
 SAMPLE = 8192
 SUBSPACES = 8
@@ -104,7 +107,7 @@ class Quantiser:
         return np.sqrt(total)
 
 
-INDEXED = "label long, dim int, list int, query boolean, id long, times long, vector array<float>, codes binary, rest double"
+INDEXED = "label string, dim int, list int, query boolean, id long, times long, vector array<{}>, codes binary, rest double"
 
 
 def _index(quantiser, delta: float):
@@ -185,7 +188,9 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
     """(id_col, n_links, component_id, kept) for every row of ``vectors``."""
     spark = vectors.sparkSession
     delta = float(np.sqrt(2 - 2 * least))
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"), F.col(label_col).cast("long").alias("label"))
+    kind = vectors.schema[vector_col].dataType.elementType.simpleString()
+    number = kind if kind in ("float", "double") else "double"  # no vector loses digits
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{number}>").alias("vector"), F.col(label_col).cast("string").alias("label"))
     usable = F.expr(
         "id is not null and label is not null and vector is not null and size(vector) > 0 and "
         "forall(vector, x -> x is not null and not isnan(x) and abs(x) < float('infinity')) and exists(vector, x -> x <> 0)"
@@ -193,7 +198,6 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
     key = [F.xxhash64("label", "vector").alias("k1"), F.xxhash64(F.lit(1), "vector", "label").alias("k2")]
     good = rows.where(usable).select("id", "label", "vector", *key)
     classes = checkpoint(good.groupBy("label", "k1", "k2").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("times")))
-    members = rows.where(usable).select("id", "label", *key).distinct().join(classes, ["label", "k1", "k2"]).select("id", "rep", "times")
     entries = (
         good.join(classes.select("label", "k1", "k2", F.col("rep").alias("id"), "times"), ["label", "k1", "k2", "id"])
         .select("label", F.size("vector").alias("dim"), "id", "times", "vector", "k1", "k2")
@@ -205,11 +209,13 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
     nothing = F.lit(0).cast("long")
     if not n:
         return rows.select(F.col("id").alias(id_col), nothing.alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    got = entries.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow().column("vector").combine_chunks()
+    got = entries.where(hashed_share("id", max(SAMPLE, 64) / n)).select("vector").toArrow().column("vector").combine_chunks()
     at, flat = list_parts(got)
+    if not len(got):
+        at, flat = np.array([0, 1]), np.ones(1)
     quantiser = spark.sparkContext.broadcast(Quantiser(_unit(flat.astype(float), at, width), max(1, min(MAX_LISTS, n // PER_LIST))))
 
-    indexed = checkpoint(entries.mapInArrow(_index(quantiser, delta), INDEXED))
+    indexed = checkpoint(entries.mapInArrow(_index(quantiser, delta), INDEXED.format(number)))
     where = ["label", "dim", "list"]
     blocks = indexed.groupBy(*where).agg(
         *(F.greatest(F.lit(1), F.ceil(F.sum(F.expr(f"if({'query' if x == 'nq' else 'not query'}, 1, 0)")) / BLOCK)).cast("int").alias(x) for x in ("nq", "nb"))
@@ -227,16 +233,18 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
         .groupBy(*where, "bq", "bb")
         .applyInArrow(_link(quantiser, delta, least), "id long, root long, n long")
     )
-    links = found.groupBy(F.col("id").alias("rep")).agg(F.sum("n").alias("n"))
-    same = members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    component = connected_components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).union(same))
-    counted = (
-        members.join(links, "rep", "left")
-        .groupBy("id")
-        .agg(F.sum(F.coalesce("n", nothing) + F.col("times") - 1).alias("n_links"))
-        .join(component.withColumnRenamed("id", "c"), F.col("id") == F.col("c"), "left")
-        .select(F.col("id").alias("m"), "n_links", "component")
-    )
+    links = checkpoint(found.groupBy(F.col("id").alias("rep")).agg(F.sum("n").alias("n")))
+    # copies of one vector may be a third of all rows: they look up their class, with all that is known of it, by a salted key
+    keyed = rows.where(usable).select("id", "label", *key).distinct()
+    several = checkpoint(classes.where("times > 1").join(links, "rep", "left"))
+    members = hot_join(keyed, several, ["label", "k1", "k2"], "times", "id", "left").select("id", F.coalesce("rep", "id").alias("rep"), F.coalesce("times", F.lit(1)).alias("times"), "n")
+    members = members.join(links.select(F.col("rep").alias("own"), F.col("n").alias("n1")), F.col("id") == F.col("own"), "left")
+    of_id = checkpoint(members.groupBy("id").agg(F.sum(F.coalesce("n", "n1", nothing) + F.col("times") - 1).alias("n_links"), F.min("rep").alias("rep"), F.collect_set("rep").alias("reps")))
+    # an id with several vectors connects their classes
+    same = of_id.where("size(reps) > 1").select(F.explode("reps").alias("a"), F.col("rep").alias("b"))
+    component = connected_components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).union(same)).withColumnRenamed("id", "rep")
+    linked = checkpoint(of_id.groupBy("rep").agg(F.count("*").alias("rows")).join(component, "rep"))
+    counted = hot_join(of_id, linked, ["rep"], "rows", "id", "left").select(F.col("id").alias("m"), "n_links", F.coalesce("component", "rep").alias("component"))
     out = rows.join(counted, F.col("id") == F.col("m"), "left")
     return out.select(
         F.col("id").alias(id_col),

@@ -3,7 +3,7 @@
 Sets of word shingles are joined exactly at ``100 * |A & B| >= percent * |A | B|``.
 
 * **Index.** A set keeps its shingles in one global order, rare ones first. The order comes from counts over
-  all documents; only the ``HEAVY`` most frequent shingles get a weight (a bounded table), the rest count as rare.
+  all documents; only the most frequent shingles (``HEAVY`` at most) get a weight (a bounded table), the rest count as rare.
   The order changes the work, never the result.
 * **Block skipping.** By position: behind position ``n - ceil(percent * n / 100)`` a first common shingle leaves too
   small an overlap, so that block of a set is skipped and never indexed, but for ``n / MORE`` positions: with them, sets that
@@ -21,7 +21,9 @@ are dealt out by shingle, groups of over ``GROUP`` sets are cut into blocks and
 own, and a group returns a forest over its sets and each set's number of links, and not the pairs. A pair is decided in the
 group of the smallest pivot that both sets have; a link to a class counts as often as the class has ids.
 
-Null, empty and blank texts have the empty set and link with nothing; repeated ids are one vertex.
+Null, empty and blank texts have the empty set and link with nothing; repeated ids are one vertex, rows without an id link with
+nothing. Ties of size are ordered by id. A very long text is one set in one task, of eight bytes a word. Of extra columns none
+is read, whatever its name; an empty table gives an empty one. Shingles are compared by 64 bits of hash.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ from folio.llm.common import (
     checkpoint,
     combine,
     connected_components,
+    heaviest,
+    hot_join,
     mix64,
     signed,
     slices,
@@ -143,35 +147,6 @@ def _involved(wanted):
     return run
 
 
-def forest(sets: list[np.ndarray], sides: np.ndarray | None, percent: int) -> np.ndarray:
-    """For each set the first one that it is connected with. ``sides``: 0 or 1; with it, only pairs across sides count."""
-    n = len(sets)
-    size = np.array([len(s) for s in sets], np.int64)
-    need = -(-percent * (size[:, None] + size[None]) // (100 + percent))
-    open_ = need <= np.minimum(size[:, None], size[None])
-    if sides is not None:
-        open_ &= sides[:, None] != sides[None]
-    np.fill_diagonal(open_, False)
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
-    root = np.arange(n)
-    while True:
-        degree = open_.sum(1)
-        p = int(degree.argmax())
-        if not degree[p]:
-            return root
-        at = np.minimum(np.searchsorted(sets[p], flat), size[p] - 1)
-        shared = np.bincount(owner[sets[p][at] == flat], minlength=n)
-        linked = open_[p] & (shared >= need[p])
-        if linked.any():
-            linked[p] = True
-            joined = np.isin(root, root[linked])
-            root[joined] = root[joined].min()
-            open_ &= root[:, None] != root[None]
-        open_[p], open_[:, p] = False, False
-        rest = size - shared
-        open_ &= np.minimum(shared[:, None], shared[None]) + np.minimum(rest[:, None], rest[None]) >= need
-
-
 def all_links(sets: list[np.ndarray], open_: np.ndarray, percent: int) -> np.ndarray:
     """Which of the pairs that ``open_`` (symmetric) names qualify; every one of them is decided."""
     n = len(sets)
@@ -287,16 +262,12 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     profile = checkpoint(texts.mapInArrow(_profile(n), "kind int, key long, n long, one long, two long"))
     sizes = profile.where("kind = 0").select(F.col("key").alias("id"), "n", "one", "two")
-    heavy = (
-        profile.where("kind = 1").groupBy("key").agg(F.sum("n").alias("w")).orderBy(F.desc("w"), "key").limit(HEAVY).collect()
-    )
+    heavy = heaviest(checkpoint(profile.where("kind = 1").groupBy("key").agg(F.sum("n").alias("w"))), "w", HEAVY).collect()
     keys = np.array([r.key for r in heavy], np.int64).view(np.uint64)
     order = np.argsort(keys)
     table_ = spark.sparkContext.broadcast((keys[order], np.array([r.w for r in heavy], np.int64)[order]))
 
     classes = sizes.where("n > 0 and id is not null").groupBy("n", "one", "two").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("w"))
-    members = sizes.join(classes, ["n", "one", "two"], "left").select("id", "n", "rep", "w")
-
     reps = classes.select(F.col("rep").alias("id"), "n")
     postings = (
         texts.mapInArrow(_prefixes(n, percent, table_), "id long, prefix array<long>")
@@ -323,13 +294,20 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     alone = meets.groupBy("piv").agg(F.count("*").alias("c")).where("c > 1").select("piv")
     weights = classes.select(F.col("rep").alias("id"), "w")
     links = checkpoint(_links(texts, checkpoint(meets.join(alone, "piv")), weights, n, percent))
-    found = connected_components(links.where("b is not null").select("a", "b"))
+    found = connected_components(links.where("b is not null").select("a", "b")).withColumnRenamed("id", "rep")
     counts = links.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    return members.join(found.withColumnRenamed("id", "rep"), "rep", "left").join(counts, "rep", "left").select(
+    info = checkpoint(found.join(counts, "rep", "full"))
+    # copies of one text may be a third of all rows: they look up their class, with all that is known of it, by a salted key
+    keys = ["n", "one", "two"]
+    several = sizes.where("n > 0 and id is not null").groupBy(*keys).agg(F.min("id").alias("rep"), F.count_distinct("id").alias("w"), F.count("*").alias("rows"))
+    several = checkpoint(several.where("rows > 1").join(info, "rep", "left"))
+    members = hot_join(sizes, several, keys, "rows", "id", "left").select("id", "n", "rep", "w", "component", "links")
+    alone = info.select(F.col("rep").alias("own"), F.col("component").alias("component1"), F.col("links").alias("links1"))
+    return members.join(alone, F.col("id") == F.col("own"), "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.expr("if(id is null, 0, coalesce(links, 0) + coalesce(w - 1, 0))").alias("n_links"),
-        F.coalesce("component", "rep", "id").alias("component_id"),
+        F.expr("if(id is null, 0, coalesce(links, links1, 0) + coalesce(w, 1) - 1)").alias("n_links"),
+        F.expr("if(id is null, null, coalesce(component, component1, rep, id))").alias("component_id"),
     )
 
 

@@ -6,9 +6,9 @@ digit or sign is a letter only next to letters, so numbers stay numbers (that is
 
 **Lexicon.** Entries are learned from labelled documents: whole words and word beginnings of
 ``STEMS`` letters, taken where the labels depend on them (likelihood ratio at least ``MIN_G``, support at least
-``MIN_SHARE`` of the toxic documents), weighted by the log odds of their document counts. Documents that
-share their smallest long-word hash count once, or copies of one toxic text would make all its words
-entries. The sample is bounded: ``SAMPLE`` labelled documents by hash of their id. *Exception
+``MIN_SHARE`` of the toxic documents), weighted by the log odds of their document counts. Documents of one label that
+share ``MIN_HASHES`` smallest hashes of their words (near copies) count once, or copies of one toxic text would make all its words
+entries; of their words those count that any of them has. The sample is bounded: about ``SAMPLE`` labelled documents, a share by hash of their id, and the lexicon with it. *Exception
 phrases* are word pairs that hold an entry and are not toxic more often than labelled documents are;
 an entry inside one doesn't count.
 
@@ -17,7 +17,10 @@ matched weight alone and the presence of a match go through a logistic curve fit
 so the score is 0 to 1 and rises with the weight in a text of a given length.
 
 Null and empty texts have no match and get the curve's lowest score. Without any toxic label the lexicon
-is empty and all scores are 0. Labels, language, source and id are no inputs of a score.
+is empty and all scores are 0. Labels, language, source and id are no inputs of a score. Several labels of one id count as the
+highest; equal scores are ties that need no order. A very long text is folded and matched whole, in time that grows with its length and
+matches. Null ids are scored and learn nothing; repeated rows are scored each; of extra columns none is read, whatever its name; an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -31,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import checkpoint, mix64, signed, table
+from folio.llm.common import Words, checkpoint, hashed_share, mix64, table
 
 SAMPLE = 12_000  # labelled documents that the lexicon and the curve are fitted on, at most
 STEMS = (4, 5, 6)
 MIN_G = 20.0
 MIN_SHARE = 0.01
-MAX_ENTRIES = 5_000
+MIN_HASHES = 4
 
 # Look-alike letters and the Latin letters they stand for.
 _GREEK_CYRILLIC = "αβγεικνοπρτυχѕіјаеорсухкмнтвԁɡ"
@@ -46,6 +49,7 @@ _LATIN_FOR_THEM = "abyeiknopptuxsijaeopcyxkmhtbdg"
 _DIGITS = "0134578@$!"
 _LETTERS_FOR_DIGITS = "oieastbasi"
 
+_ODD, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _LETTER = {ord(a): b for a, b in zip(_GREEK_CYRILLIC, _LATIN_FOR_THEM)}
 _SIGN = {ord(a): b for a, b in zip(_DIGITS, _LETTERS_FOR_DIGITS)}
 
@@ -92,13 +96,16 @@ def _features(batches):
     for batch in batches:
         rows: list[tuple[int, int, list[str]]] = []
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = set(fold(text or "").split())
-            long = [w for w in words if len(w) >= 8] or sorted(words)
-            key = np.frombuffer(b"".join(w.encode()[:8].ljust(8) for w in long), np.uint64)
+            folded = fold(text or "")
+            words = set(folded.split())
+            raw = np.frombuffer(folded.encode(), np.uint8)
+            own = Words(raw, np.array([0, len(raw)]))
+            h = np.unique(own.hashes(lower=False))
+            near = "".join(f"{int(mix64(h ^ np.uint64(k * _ODD & _MASK)).min()):016x}" for k in range(1, MIN_HASHES + 1)) if len(h) else ""
             found = {f"{w} " for w in words} | {w[:k] for w in words for k in STEMS if len(w) > k}
-            rows.append((int(signed(mix64(key)).min()) if len(key) else 0, toxic, sorted(found)))
+            rows.append((near, toxic, sorted(found)))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.list_(pa.string())))], names=["near", "toxic", "found"]
+            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.list_(pa.string())))], names=["near", "toxic", "found"]
         )
 
 
@@ -142,8 +149,16 @@ class Lexicon:
                 best[start] = max(best.get(start, 0.0), weight)
             else:
                 free.append((start, end))
-        for a, b in free:
-            for start in [s for s in best if a <= s < b]:
+        if free:  # the exceptions as one union of spans, so that a long text costs no more than its matches
+            inside, reach, spans = [], -1, iter(sorted(free))
+            a, b = next(spans)
+            for start in sorted(best):
+                while a is not None and a <= start:
+                    reach = max(reach, b)
+                    a, b = next(spans, (None, None))
+                if start < reach:
+                    inside.append(start)
+            for start in inside:
                 del best[start]
         return math.fsum(best.values()), len(best), words
 
@@ -183,15 +198,17 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn from labelled rows (``labels``: id and a 0/1 label, null is no label)."""
     known = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("toxic")).where("toxic in (0, 1) and i is not null")
-    known = known.groupBy("i").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("i"), "i").limit(SAMPLE)
+    known = checkpoint(known.groupBy("i").agg(F.max("toxic").alias("toxic")))
+    known = known.where(hashed_share("i", SAMPLE / max(1, known.count())))
     texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "i").select("text", "toxic")
     texts = checkpoint(texts)  # bounded by SAMPLE documents
-    found = checkpoint(texts.mapInArrow(_features, "near long, toxic int, found array<string>").dropDuplicates(["near"]))
-    n = {r.toxic: r["count"] for r in found.groupBy("toxic").count().collect()}
+    found = checkpoint(texts.mapInArrow(_features, "near string, toxic int, found array<string>"))
+    found = checkpoint(found.select("near", "toxic", F.explode("found").alias("e")).distinct())
+    n = {r.toxic: r.n for r in found.groupBy("toxic").agg(F.countDistinct("near").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         return Model({}, [], [-30.0 if not n1 else 30.0, 0.0, 0.0, 0.0])
-    counts = found.select("toxic", F.explode("found").alias("e")).groupBy("e").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    counts = found.groupBy("e").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
     least = max(3, math.ceil(MIN_SHARE * n1))
     # likelihood ratio of the 2 x 2 table, for entries that speak for the label
     t, c = F.col("t").cast("double"), (F.col("n") - F.col("t")).cast("double")
@@ -203,10 +220,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rest = F.lit(total) - F.col("n")
     g = 2 * (cell(t, F.col("n") * share) + cell(c, F.col("n") * (1 - share)) + cell(n1 - t, rest * share) + cell(n0 - c, rest * (1 - share)))
     odds = F.log(((t + 0.5) / (n1 + 1)) / ((c + 0.5) / (n0 + 1)))
-    rows = counts.where(F.col("t") >= least).select("e", odds.alias("w"), g.alias("g")).where(f"w > 2.5 and g >= {MIN_G}").orderBy(F.desc("g"), "e").limit(MAX_ENTRIES).collect()
+    rows = counts.where(F.col("t") >= least).select("e", odds.alias("w"), g.alias("g")).where(f"w > 2.5 and g >= {MIN_G}").collect()  # bounded by the sample's words
     weights = {r.e: float(r.w) for r in rows}
     pairs = texts.mapInArrow(_pairs(set(weights)), "pair string, toxic int").groupBy("pair").agg(F.avg("toxic").alias("share"), F.count("*").alias("n"))
-    exceptions = [r.pair for r in pairs.where(f"n >= 5 and share <= {share / 2}").orderBy(F.desc("n"), "pair").limit(MAX_ENTRIES).collect()]
+    exceptions = [r.pair for r in pairs.where(f"n >= 5 and share <= {share / 2}").collect()]
 
     raw = texts.mapInArrow(_weigher(weights, exceptions, keep=["toxic"]), "toxic int, weight double, hits long, words long").toPandas()
     curve = _curve(inputs(raw.weight.to_numpy(), raw.hits.to_numpy(), raw.words.to_numpy()), raw.toxic.to_numpy(float))

@@ -11,8 +11,10 @@ it holds often enough (``min_support`` of the labelled URLs, and ``MIN_COUNT`` o
 inverted index: a rule stands under its rarest token, a URL looks up its tokens and checks the rest of
 each rule it finds. URLs without any rule are allowed.
 
-Everything runs in DataFrame functions. A null URL, or one without ``://``, has an empty host and path; empty
-labels mine nothing. Each different URL is judged once, so repeated URLs cost a join and no more.
+Everything runs in DataFrame functions. A null or empty URL, or one without ``://``, has an empty host and path and is allowed; empty
+labels mine nothing, an empty table gives an empty one. Each different URL is judged once, so repeated URLs cost a join and no more.
+Of given rules of one length the later in the alphabet decides, of mined ones that hold the one with most confidence, then the
+later. Null ids are judged like others and learn nothing; a very long URL is one row of tokens. Of extra columns none is read.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from folio.llm.common import checkpoint, table
 
 BAD = "label=bad"
-MIN_COUNT = 20
+MIN_COUNT = 20  # labelled URLs that a combination must be met in, whatever the share
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
