@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from folio.llm import byte_bpe, embedding_dedup, ngram_join, packing, quality, substring_dedup, token_store, toxicity, url_rules
+from folio.llm import byte_bpe, embedding_dedup, ngram_join, quality, substring_dedup, token_store, toxicity, url_rules
 from folio.llm.common import connected_components
 
 P = pytest.importorskip("public_tokenizers")
@@ -103,16 +103,6 @@ def test_ngram_join_counts_all_links(spark, monkeypatch, group):
     assert max(want.values()) > 2 and len(got) == len(rows) and {r.doc_id: r.n_links for r in got} == want
 
 
-def test_forest_cuts_no_link():
-    rnd = random.Random(5)
-    for _ in range(30):
-        sets = [np.array(sorted(rnd.sample(range(40), rnd.randint(1, 30))), np.uint64) for _ in range(14)]
-        for percent in (50, 80):
-            links = [(a, b) for a in range(14) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= percent * len(np.union1d(sets[a], sets[b]))]
-            want = roots(range(14), links)
-            assert ngram_join.forest(sets, None, percent).tolist() == [want[k] for k in range(14)]
-
-
 def test_substring_dedup(docs):
     seen, want = set(), {}
     for i, t in sorted({(r.doc_id, r.text) for r in docs.collect()}, key=lambda r: r[0]):
@@ -126,7 +116,15 @@ def test_substring_dedup(docs):
         want[i] = (len(w), sum(cover), b" ".join(x for x, c in zip(w, cover) if not c).decode())
     got = substring_dedup.substring_dedup(docs).collect()
     assert len(got) == docs.count()
-    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in got} == want
+    assert {r.doc_id: (r.dedup.n_words, r.dedup.n_removed, r.dedup.kept_text) for r in got} == want
+    # every factor is a copy of earlier words, as long as its source goes on
+    own = {r.doc_id: words(r.text) for r in docs.collect()}
+    for r in got:
+        for f in r.dedup.factors:
+            size = f.end - f.first
+            assert (f.source, f.at) < (r.doc_id, f.first) and size >= 20
+            assert own[r.doc_id][f.first : f.end] == own[f.source][f.at : f.at + size]
+    assert sum(len(r.dedup.factors) for r in got) > 10
 
 
 def test_byte_bpe_is_the_library(docs):
@@ -147,8 +145,8 @@ def test_byte_bpe_is_the_library(docs):
 
 def test_every_token_encodes_to_itself():
     coder = byte_bpe.Coder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
-    some = [t for t in coder.ranks if len(t) > 1][::97]
-    sizes, ids = coder._contract(some)
+    some = list(coder.ranks)
+    sizes, ids = coder.contract(some)
     assert (sizes == 1).all() and ids.tolist() == [coder.ranks[t] for t in some]
 
 
@@ -164,7 +162,8 @@ def test_token_store(docs, spark, tmp_path):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
+    docs = docs.unionByName(spark.createDataFrame([(900, "hello <|endoftext|> world"), (901, "<|endoftext|>\n<|endoftext|>x")], SCHEMA))
+    assert 50256 in library.encode("hello <|endoftext|> world", add_special_tokens=False).ids
     token_store.write_tokens(docs, f"file://{tmp_path}/s", P.path("byte_bpe_50k.json"), end_id=2)
     got = sorted(token_store.read_tokens(spark, f"file://{tmp_path}/s").collect(), key=lambda r: r.start)
     start, want = 0, []
@@ -197,16 +196,10 @@ def test_embeddings(spark):
 def test_base_counts_and_bands(docs):
     got = {r.doc_id: r for r in quality.quality_rules(docs.selectExpr("*", "if(doc_id % 2 = 0, 'en', null) as lang")).collect()}
     assert (got[7].n_words, got[7].n_repeat_words, got[7].base_failed, got[7].kept) == (120, 120, True, False)
-    assert (got[3].n_words, got[4].n_words, got[5].n_words) == (0, 0, 0) and got[3].bits is None
+    assert (got[3].n_words, got[4].n_words, got[5].n_words) == (0, 0, 0) and got[3].bits is None and got[3].word_bits is None
     assert (got[9].n_symbols, got[9].word_chars) == (0, 3500)
 
 
-def test_kneser_ney_sums_to_one():
-    code = np.array([0, 1, 97, 96 * 96 + 5])
-    model = quality.Model(code, np.array([3, 1, 2, 7]))
-    assert np.allclose(np.exp2(model.dense().reshape(-1, 96)).sum(1), 1, atol=1e-4)
-
-
 def test_toxicity(spark):
     rnd = random.Random(2)
     plain = ["".join(rnd.choices("abcdefghij", k=10)) for _ in range(5000)]
@@ -237,22 +230,7 @@ def test_mined_rules_block(spark):
     assert got[500] == "block" and got[501] == "allow" and got[3] == "block" and got[70] == "allow"
 
 
-def test_packing(docs):
-    sizes = (16, 64, 128)
-    rows = packing.best_fit_packing(docs, sizes=sizes, overhead=2, shard=30).collect()
-    assert sum(r.n_tokens for r in rows) == sum(len(words(r.text)) + 1 for r in docs.collect())
-    bins = {}
-    for r in rows:
-        bins.setdefault(r.bin_id, []).append(r)
-    for own in bins.values():
-        own.sort(key=lambda r: r.bin_start)
-        used = sum(r.n_tokens for r in own)
-        assert [r.bin_start for r in own] == [sum(x.n_tokens for x in own[:k]) for k in range(len(own))]
-        assert own[0].bin_size == min(s for s in sizes if s >= used)
-
-
 def test_empty_tables(empty):
     assert ngram_join.ngram_jaccard_join(empty).count() == 0
     assert substring_dedup.substring_dedup(empty).count() == 0
     assert quality.quality_rules(empty).count() == 0
-    assert packing.best_fit_packing(empty).count() == 0
