@@ -2,7 +2,12 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir), and what it returns is written as
 Parquet in the shared checkpoint folder and read again as the next one's ``docs``. All but the last return the columns of
-``documents``. A row is told from others by its id, language and text, so repeated ids with different texts are judged apart.
+``documents``. A row goes through the filters as one struct, so repeated ids with different texts are judged apart and columns of any
+name come back untouched, but for ``text`` and ``n_chars`` after the fourth stage, and names that begin with two underscores,
+which are the stages' own. Null and empty texts fail the quality rules; an empty table gives an empty result; a null id is a document
+like any other. Ties between near copies go to the smallest id, then to the smallest hash of the row; repeated rows are near copies of each
+other. Very long texts are read whole by every stage. The folder of the stages is left to the owner of the checkpoint folder, as the
+result is read from it.
 """
 
 from __future__ import annotations
@@ -14,40 +19,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import ngram_join, packing, quality, substring_dedup, toxicity
-from folio.llm.common import checkpoint_folder, table
+from folio.llm.common import checkpoint, checkpoint_folder, hot_join, table
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """Each row as one struct that goes through an operator as its id, beside what the operator reads."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), "text", "lang")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or their language's perplexity band reject go."""
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "lang", "text"))
-    gone = quality.quality_rules(keyed, id_col="__key").where("not kept").select("__key").distinct()
-    return keyed.join(gone, "__key", "left_anti").select(docs.columns)
+    """Documents that the base rules or their language's perplexity bands reject go."""
+    return quality.quality_rules(_rows(docs), id_col="__row").where("kept").select("__row.*")
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go; the model is learned from the labelled documents that are left."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs.select(F.struct(docs.columns).alias("__row"), "text"), model, id_col="__row")
-    return scored.where("predicted = 0").select("__row.*")
+    return toxicity.score(_rows(docs), model, id_col="__row").where("predicted = 0").select("__row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word shingles at 80 per cent, the one with the smallest id stays."""
-    groups = ngram_join.ngram_jaccard_join(docs, n=5, percent=80)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of documents linked by five-word shingles at 80 per cent, the one with the smallest id stays, once.
+
+    Documents without words link with nothing and stay. Different rows under one id are vertices of their own, named by
+    a hash; null ids too. Of those the one with the smallest id, then name, stays.
+    """
+    whole = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    named = docs.withColumn("__hash", whole)
+    several = checkpoint(named.groupBy("doc_id").agg(F.count("*").alias("__n"), F.min("__hash").alias("__lo"), F.max("__hash").alias("__hi")).where("__lo < __hi").select("doc_id", "__n"))
+    named = hot_join(named, several, ["doc_id"], "__n", "__hash", "left")
+    named = named.withColumn("__vertex", F.expr("if(doc_id is null or __n is not null, __hash, doc_id)")).drop("__hash", "__n")
+    groups = ngram_join.ngram_jaccard_join(named, id_col="__vertex", n=5, percent=80)
+    groups = groups.join(named.select("__vertex", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__id")).distinct(), "__vertex").distinct()
+    best = groups.groupBy("component_id").agg(F.min(F.struct("__id", "__vertex")).alias("__best"))
+    kept = best.select(F.col("__best.__vertex").alias("__vertex"))
+    return named.join(kept, "__vertex", "left_semi").dropDuplicates(["__vertex"]).select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in a 20-word window that starts earlier in the corpus go; n_chars follows the text."""
-    out = substring_dedup.substring_dedup(docs)
-    changed = out.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long"))
+    out = substring_dedup.substring_dedup(docs, result="__dedup")
+    changed = out.withColumn("text", F.col("__dedup.kept_text")).withColumn("n_chars", F.length("text").cast("long"))
     return changed.select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each piece of each document that is left: its bin, its place there and the bin's length."""
-    return packing.best_fit_packing(docs)
+    return packing.pack_documents(docs)
 
 
 STAGES = [
@@ -74,4 +92,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, at: tuple, folder:
     function(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
 
 
-ORACLE_SQL = None  # perplexity bands, a learned lexicon and best fit have no SQL form; tests compare with brute force
+ORACLE_SQL = None  # perplexity bands, a learned lexicon and best fit have no SQL form; tests/llm/test_pipeline.py compares each stage with a plain version
