@@ -238,7 +238,8 @@ def substring_dedup(
     keyed = texts.select("k", "text", "id", "row").where("k is not null").repartition("k").join(copies, "k", "left")
     alone = keyed.where("copy is null").select("k", "text", "id", "row")
     # all that later joins ask of a row is asked before the exchange, and ``met`` only in conditions that can't be pushed below it
-    solid = "h is not null and g is not null"
+    key = "if(met, substring(place, 1, 8), substring(place, 9, 8))"
+    solid = f"h is not null and g is not null and {key} is not null"
     index = alone.mapInArrow(_index(window, gram), FOUND).where(solid).repartition("h", "g")
     asks = F.expr("if(met, null, place)")
     spread = [F.min(asks).alias("e"), F.max(asks).alias("l")]
@@ -247,7 +248,7 @@ def substring_dedup(
     anchors = (
         index.join(many, ["h", "g"], "left")
         .where("met or hot")
-        .select(F.expr("if(met, substring(place, 1, 8), substring(place, 9, 8))").alias("k"), F.expr("if(met, substring(place, 9), substring(place, 17))").alias("at"))
+        .select(F.expr(key).alias("k"), F.expr("if(met, substring(place, 9), substring(place, 17))").alias("at"))
         .groupBy("k")
         .agg(F.collect_set("at").alias("anchors"))
     )
@@ -257,7 +258,7 @@ def substring_dedup(
         windows.join(earliest, ["h", "g"], "left")
         .where("met or place > e")
         .select(
-            F.expr("if(met, substring(place, 1, 8), substring(place, 9, 8))").alias("k"),
+            F.expr(key).alias("k"),
             F.expr("if(met, substring(place, 9), concat(substring(place, 17), X'00000001', e))").alias("run"),
         )
         .groupBy("k")
