@@ -1,10 +1,15 @@
-"""Scalar text operators as column expressions: JVM functions only, so they stay in generated code."""
+"""Scalar text operators as column expressions: JVM functions only, but for the Unicode composition of ``compose``."""
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+# Inline and block tags.
 INLINE = "span|em|i|b|strong|small|sup|sub|a|u|cite|abbr"
 BLOCK = "p|div|h[1-6]|blockquote|li"
 
@@ -26,13 +31,24 @@ def paragraphs(html: Column) -> Column:
     return F.array_join(F.filter(parts, lambda p: p != ""), "\n\n")
 
 
+# Ligatures and their letters; apostrophe-like characters.
+LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
+APOSTROPHES = "\u02bb\u2019\u2018\u02bc\u2032\uff07"
+
+
+@F.pandas_udf(StringType())
+def compose(text: pd.Series) -> pd.Series:
+    """Unicode composition (NFC), which Spark has no function for."""
+    return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
+
+
 def normalise(text: Column) -> Column:
-    """Ligatures, apostrophes, guillemets and odd spaces become plain; runs of white space become one space."""
-    out = text
-    for odd, plain in (("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"), ("œ", "oe"), ("æ", "ae")):
+    """Composed; ligatures, apostrophes, guillemets and odd spaces become plain; runs of white space become one space."""
+    out = compose(text)
+    for odd, plain in LIGATURES.items():
         out = F.replace(out, F.lit(odd), F.lit(plain))
-    out = F.translate(out, "’‘ʼ`´′«»  ", "''''''\"\"  ")
-    return F.regexp_replace(out, r"[ \t\r\n]+", " ")
+    out = F.translate(out, APOSTROPHES + "«»\u00a0\u202f\r\n", "'" * len(APOSTROPHES) + '""' + "    ")
+    return F.regexp_replace(out, r"[ \t]{2,}", " ")
 
 
 def slug(name: Column) -> Column:
@@ -75,16 +91,19 @@ def page_filename(name: Column) -> Column:
 
 
 def md_to_wiki(text: Column) -> Column:
-    """Headings, bold and italic; quoted lines go."""
+    """Headings of four levels, bold and italic; a quoted line becomes an empty one."""
+
+    def inline(s: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(s, r"\*\*(.+?)\*\*", "'''$1'''"), r"\*(.+?)\*", "''$1''")
 
     def line(s: Column) -> Column:
-        out = F.when(s.startswith("### "), F.concat(F.lit("==== "), F.substr(s, F.lit(5)), F.lit(" ====")))
-        out = out.when(s.startswith("## "), F.concat(F.lit("=== "), F.substr(s, F.lit(4)), F.lit(" ===")))
-        out = out.when(s.startswith("# "), F.concat(F.lit("== "), F.substr(s, F.lit(3)), F.lit(" ==")))
-        return F.regexp_replace(F.regexp_replace(out.otherwise(s), r"\*\*([^*]+)\*\*", "'''$1'''"), r"\*([^*]+)\*", "''$1''")
+        out = F.when(s.startswith(">"), F.lit(""))
+        for level in (4, 3, 2, 1):
+            mark = F.lit("=" * level)
+            out = out.when(s.startswith("#" * level + " "), F.concat_ws(" ", mark, inline(F.substr(s, F.lit(level + 2))), mark))
+        return out.otherwise(inline(s))
 
-    lines = F.filter(F.split(text, "\n"), lambda s: ~s.startswith(">"))
-    return F.array_join(F.transform(lines, line), "\n")
+    return F.array_join(F.transform(F.split(text, "\n"), line), "\n")
 
 
 def wiki_to_text(text: Column) -> Column:
@@ -93,19 +112,18 @@ def wiki_to_text(text: Column) -> Column:
 
 
 def pack_chunks(text: Column, limit: int) -> Column:
-    """Paragraphs packed greedily into chunks of at most ``limit`` characters; a longer paragraph is a chunk of its own."""
+    """Paragraphs (between blank lines) packed until the next one would overflow ``limit``; none is ever split."""
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"))
 
     def step(acc: Column, p: Column) -> Column:
-        fits = F.length(acc["now"]) + 2 + F.length(p) <= limit
+        over = (acc["now"] != "") & (F.length(acc["now"]) + F.length(p) > limit)
         return (
-            F.when(acc["now"] == "", F.struct(acc["done"].alias("done"), p.alias("now")))
-            .when(fits, F.struct(acc["done"].alias("done"), F.concat(acc["now"], F.lit("\n"), p).alias("now")))
-            .otherwise(F.struct(F.array_append(acc["done"], acc["now"]).alias("done"), p.alias("now")))
+            F.when(over, F.struct(F.array_append(acc["done"], acc["now"]).alias("done"), p.alias("now")))
+            .when(acc["now"] == "", F.struct(acc["done"].alias("done"), p.alias("now")))
+            .otherwise(F.struct(acc["done"].alias("done"), F.concat(acc["now"], F.lit("\n\n"), p).alias("now")))
         )
 
-    parts = F.filter(F.split(text, "\n"), lambda p: F.trim(p) != "")
-    return F.aggregate(parts, start, step, lambda acc: F.when(acc["now"] == "", acc["done"]).otherwise(F.array_append(acc["done"], acc["now"])))
+    return F.aggregate(F.split(text, "\n\n"), start, step, lambda acc: F.when(acc["now"] == "", acc["done"]).otherwise(F.array_append(acc["done"], acc["now"])))
 
 
 def overlap_free(spans: Column) -> Column:

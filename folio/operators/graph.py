@@ -41,6 +41,46 @@ def cooccurrence(found: DataFrame, window: int, threshold: int, min_sections: in
     return per.groupBy("a", "b").agg(F.sum("n").alias("windows"), F.count("*").alias("sections")).where(f"windows >= {threshold} and sections >= {min_sections}")
 
 
+def free_hits(sections: DataFrame, names: DataFrame) -> DataFrame:
+    """(section_id, i, name, sentence): names in sentences but for those right after "of ", which belong to an artefact."""
+    words = sentence_table(sections).select("section_id", "i", "sentence", F.explode(F.array_distinct(T.tokens(F.col("sentence")))).alias("name"))
+    met = words.join(F.broadcast(names.select("name")), "name")
+    marked = F.replace(F.lower("sentence"), F.concat(F.lit("of "), "name"), F.lit("\u0001"))
+    return met.where(F.array_contains(T.tokens(marked), F.col("name")))
+
+
+def near_pairs(found: DataFrame, negations: str | None) -> DataFrame:
+    """(section_id, a, b, lo, gap, span): pairs of names in one sentence or in neighbours; spans that deny a relation are no context.
+
+    A row joins its own sentence and the next one, so only neighbours meet.
+    """
+    x = found.select("section_id", F.col("i").alias("lo"), F.col("name").alias("n1"), F.col("sentence").alias("s1"))
+    y = found.select("section_id", "i", F.col("name").alias("n2"), F.col("sentence").alias("s2")).withColumn("lo", F.explode(F.array("i", F.col("i") - 1)))
+    met = x.join(y, ["section_id", "lo"]).where("n1 <> n2 and (i > lo or n1 < n2)")
+    span = F.when(F.col("i") == F.col("lo"), F.col("s1")).otherwise(F.concat_ws(" ", "s1", "s2"))
+    pairs = met.select("section_id", F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b"), "lo", (F.col("i") - F.col("lo")).alias("gap"), span.alias("span"))
+    return pairs if negations is None else pairs.where(~F.lower("span").rlike(negations))
+
+
+def tightest(contexts: DataFrame) -> DataFrame:
+    """A section's closest context of a pair, the first of several."""
+    return contexts.groupBy("section_id", "a", "b").agg(F.min(F.struct("gap", "lo", "span")).alias("c")).select("section_id", "a", "b", "c.gap", "c.span")
+
+
+def sample_contexts(contexts: DataFrame, n: int) -> DataFrame:
+    """Of ``contexts(section_id, a, b, gap)`` up to ``n`` a pair at the places int(i * size / n): gap 0 first, gap 1 fills up."""
+    own = W.partitionBy("a", "b", "gap")
+    rows = contexts.withColumns({"r": F.row_number().over(own.orderBy("section_id")) - 1, "size": F.count("*").over(own), "same": F.count(F.expr("if(gap = 0, 1, null)")).over(W.partitionBy("a", "b"))})
+    rows = rows.withColumn("k", F.when(F.col("gap") == 0, n).otherwise(n - F.least(F.lit(n), "same"))).where("k > 0")
+    i = F.ceil(F.col("r") * F.col("k") / F.col("size"))
+    return rows.where((F.col("size") <= F.col("k")) | ((F.floor(i * F.col("size") / F.col("k")) == F.col("r")) & (i < F.col("k"))))
+
+
+def with_context(pairs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Only pairs that have a context, with the number of sections that give one."""
+    return pairs.join(contexts.groupBy("a", "b").agg(F.count_distinct("section_id").alias("contexts")), ["a", "b"])
+
+
 def unordered(df: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
     """Pairs in one order, with the direction turned where they were swapped."""
     return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.when(F.col(a) < F.col(b), "a->b").otherwise("b->a").alias("direction"), *[c for c in df.columns if c not in (a, b)])

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from folio.sources.tables import shared_folder
+
 
 def jaro(a: str, b: str) -> float:
     """Share of characters that match within half the longer length, less half of those out of order."""
@@ -53,9 +53,7 @@ def similar_pairs(names: DataFrame, least: float = 0.92, reach: int = 3) -> Data
 
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable. Labels go along edges and then jump to their own labels."""
-    sc = vertices.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(vertices.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folio-"))
+    shared_folder(vertices.sparkSession)
     both = edges.select("a", "b").union(edges.select("b", "a")).distinct().checkpoint()
     label = vertices.select("id", F.col("id").alias("component")).distinct().checkpoint()
     while True:
@@ -70,6 +68,8 @@ def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def clusters(names: DataFrame) -> DataFrame:
     """(name, n) -> cluster: its canonical name (the longest, then the first), its members and their count."""
+    shared_folder(names.sparkSession)
+    names = names.checkpoint()  # four uses below, one scan of the texts
     found = components(names.select(F.col("name").alias("id")), similar_pairs(names))
     own = names.join(found.withColumnRenamed("id", "name"), "name")
     return own.groupBy("component").agg(

@@ -1 +1 @@
-from folio.plans import catalog, checks  # noqa: F401  (both register their queries in the catalog)
+from folio.plans import catalog, checks, rules, stories  # noqa: F401  (all register their queries in the catalog)

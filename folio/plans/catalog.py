@@ -38,9 +38,9 @@ def _edges(s: SparkSession, d: str) -> DataFrame:
     return G.unordered(_trade(s, d))
 
 
-def _graph(s: SparkSession, d: str, keep: str = "true") -> DataFrame:
-    """A sparse nation graph: trade in one return flag and year, with pairs above a floor."""
-    return _edges(s, d).where("type = 'R' and volume = 1995").where(keep).groupBy("a", "b").agg(F.count("*").alias("n"), F.max("type").alias("type"))
+def _graph(s: SparkSession, d: str) -> DataFrame:
+    """The nation graph of all trade; an edge's type is its greatest return flag."""
+    return _edges(s, d).groupBy("a", "b").agg(F.count("*").alias("n"), F.max("type").alias("type"))
 
 
 # pieces of SQL shared by several oracles
@@ -54,20 +54,7 @@ _TRADE = (
     "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey), "
     "edges AS (SELECT least(src, dst) AS a, greatest(src, dst) AS b, CASE WHEN src < dst THEN 'a->b' ELSE 'b->a' END AS direction, volume, type, chunk, seq FROM trade WHERE src <> dst)"
 )
-_GRAPH = _TRADE + ", graph AS (SELECT a, b, count(*) AS n, max(type) AS type FROM edges WHERE type = 'R' AND volume = 1995 GROUP BY a, b)"
-
-
-@query(
-    "F1_cooccurrence",
-    f"""WITH {_SENTENCES}, {_ROSTER.format(tok=_TOK.format("text"), k=40)},
-    hits AS (SELECT DISTINCT section_id, i, w AS name FROM (SELECT section_id, i, unnest({_TOK.format("sentence")}) AS w FROM sent) JOIN roster ON w = name),
-    starts AS (SELECT DISTINCT section_id, st, name FROM hits, range(greatest(0, i - 4), i + 1) r(st)),
-    pairs AS (SELECT x.section_id, x.name AS a, y.name AS b FROM starts x JOIN starts y ON x.section_id = y.section_id AND x.st = y.st AND x.name < y.name)
-    SELECT a, b, count(*) AS windows, count(DISTINCT section_id) AS sections FROM pairs GROUP BY a, b HAVING count(*) >= 5 AND count(DISTINCT section_id) >= 2""",
-)
-def cooccurrence(s, d):
-    sec = _sections(s, d)
-    return G.cooccurrence(G.hits(sec, G.roster(sec, 40)), 5, 5, 2)
+_GRAPH = _TRADE + ", graph AS (SELECT a, b, count(*) AS n, max(type) AS type FROM edges GROUP BY a, b)"
 
 
 @query("B1_flatten_inline", r"SELECT page_id, md5(regexp_replace(html, '(?i)</?(?:span|em|i|b|strong|small|sup|sub|a|u|cite|abbr)(?:\s[^>]*)?/?>', '', 'g')) AS digest FROM pages")
@@ -81,11 +68,6 @@ def blocks(s, d):
     return load(s, d, "pages").select("page_id", (F.length(marked) - F.length(F.replace(marked, F.lit("\u0001"), F.lit("")))).cast("long").alias("blocks"))
 
 
-@query("B4_clean_page")
-def clean_page(s, d):
-    return load(s, d, "pages").select("page_id", F.md5(T.paragraphs(F.col("html"))).alias("digest"))
-
-
 @query("A4_page_title", r"SELECT page_id, coalesce(nullif(trim(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)), ''), nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), ''), url) AS title FROM pages")
 def page_title(s, d):
     part = lambda tag: F.nullif(F.trim(F.regexp_extract("html", rf"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1)), F.lit(""))
@@ -141,23 +123,6 @@ def contains_run(s, d):
     return load(s, d, "documents").where(T.contains_run(low, F.lit("of the")) | T.contains_run(low, F.lit("de la"))).select("doc_id")
 
 
-@query("B20_chunks")
-def chunks(s, d):
-    packed = load(s, d, "documents").select("doc_id", F.posexplode(T.pack_chunks(F.col("text"), 1500)).alias("chunk", "body"))
-    return packed.select("doc_id", "chunk", F.length("body").cast("long").alias("chars"))
-
-
-@query("B25_md_to_wiki", r"SELECT page_id, regexp_replace(regexp_replace('== ' || url || ' ==', '\*\*([^*]+)\*\*', '''''''\1''''''', 'g'), '\*([^*]+)\*', '''''\1''''', 'g') AS wiki FROM pages")
-def md_to_wiki(s, d):
-    return load(s, d, "pages").select("page_id", T.md_to_wiki(F.concat(F.lit("# "), F.col("url"), F.lit("\n> quoted"))).alias("wiki"))
-
-
-@query("B23_wiki_to_text", r"SELECT n_nationkey, trim('See ' || n_name || ' and ' || 'x') AS body FROM nation")
-def wiki_text(s, d):
-    raw = F.concat(F.lit("See [[Nations|"), F.col("n_name"), F.lit("]] and [[x]]{{Infobox|a=1}}[[Category:N]]<ref>r</ref>"))
-    return load(s, d, "nation").select("n_nationkey", T.wiki_to_text(raw).alias("body"))
-
-
 @query("B32_filename", "SELECT p_partkey, translate(p_name || '/' || p_brand, ' /', '__') AS file FROM part")
 def filename(s, d):
     return load(s, d, "part").select("p_partkey", T.page_filename(F.concat("p_name", F.lit("/"), "p_brand")).alias("file"))
@@ -205,14 +170,6 @@ def gazetteer(s, d):
     return G.hits(sec, G.roster(sec, 200)).select("section_id", F.col("i").cast("long").alias("i"), "name")
 
 
-@query("D10_overlap_free")
-def overlap_free(s, d):
-    spans = load(s, d, "lineitem").groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").cast("int").alias("start"), (F.col("l_linenumber") + F.pmod("l_partkey", F.lit(3)) + 1).cast("int").alias("end")))).alias("spans")
-    )
-    return spans.select("l_orderkey", F.size(T.overlap_free(F.col("spans"))).alias("kept"))
-
-
 @query("D13_carry_forward", "SELECT conv_id, turn, CASE WHEN turn - anchor <= 5 THEN anchor END AS anchor FROM (SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS anchor FROM conversations)")
 def carry_forward(s, d):
     return A.carry_forward(load(s, d, "conversations"), 5)
@@ -245,12 +202,6 @@ def alias_owner(s, d):
     return I.alias_owner(_claims(s, d))
 
 
-@query("E35_invariant", f"WITH {_CLAIMS} SELECT owner, alias, kind, n FROM claims WHERE owner NOT IN (SELECT min(p_brand) FROM part)")
-def invariant(s, d):
-    known = load(s, d, "part").agg(F.min("p_brand").alias("owner"))
-    return I.unresolved(_claims(s, d), known, "owner").select("owner", "alias", "kind", "n")
-
-
 @query("E37_decision_id", "SELECT a, b, substr(sha1(concat_ws(chr(31), a, b)), 1, 12) AS decision_id FROM (SELECT n_name AS a, r_name AS b FROM nation JOIN region ON n_regionkey = r_regionkey)")
 def decision_id(s, d):
     pair = load(s, d, "nation").join(load(s, d, "region"), F.expr("n_regionkey = r_regionkey")).select(F.col("n_name").alias("a"), F.col("r_name").alias("b"))
@@ -262,9 +213,9 @@ def page_titles(s, d):
     return I.page_titles(load(s, d, "part").select(F.col("p_brand").alias("name"), F.substring_index("p_type", " ", 1).alias("kind")).distinct())
 
 
-@query("F12_fold", f"WITH {_TRADE} SELECT a, b, count(*) AS n, array_to_string(list_sort(list(DISTINCT volume)), ',') AS volumes, CASE WHEN count(DISTINCT type) = 1 THEN max(type) END AS type, CASE WHEN count(DISTINCT direction) = 1 THEN max(direction) END AS direction FROM edges WHERE volume <= 1996 GROUP BY a, b")
+@query("F12_fold", f"WITH {_TRADE} SELECT a, b, count(*) AS n, array_to_string(list_sort(list(DISTINCT volume)), ',') AS volumes, CASE WHEN count(DISTINCT type) = 1 THEN max(type) END AS type, CASE WHEN count(DISTINCT direction) = 1 THEN max(direction) END AS direction FROM edges GROUP BY a, b")
 def fold(s, d):
-    return G.fold(_edges(s, d).where("volume <= 1996")).withColumn("volumes", F.array_join("volumes", ","))
+    return G.fold(_edges(s, d)).withColumn("volumes", F.array_join("volumes", ","))
 
 
 @query(
@@ -290,13 +241,13 @@ def direct(s, d):
 
 @query(
     "F23_indirect",
-    f"""WITH {_GRAPH}, g AS (SELECT * FROM graph WHERE (a + b) % 4 = 0), two AS (SELECT a, b, n, type FROM g UNION ALL SELECT b, a, n, type FROM g), top AS (SELECT max(n) AS t FROM g)
+    f"""WITH {_GRAPH}, g AS (SELECT * FROM graph), two AS (SELECT a, b, n, type FROM g UNION ALL SELECT b, a, n, type FROM g), top AS (SELECT max(n) AS t FROM g)
     SELECT x.a AS x, y.b AS y, x.b AS via, x.type AS t1, y.type AS t2, x.n * y.n / (t::DOUBLE * t) AS strength FROM two x JOIN two y ON x.b = y.a, top
     WHERE x.a < y.b AND NOT EXISTS (SELECT 1 FROM g WHERE g.a = x.a AND g.b = y.b) AND x.n * y.n / (t::DOUBLE * t) >= 0.1
     QUALIFY row_number() OVER (PARTITION BY x.a, y.b ORDER BY x.n * y.n / (t::DOUBLE * t) DESC, x.b) = 1""",
 )
 def indirect(s, d):
-    return G.indirect(_graph(s, d, "pmod(a + b, 4) = 0"))
+    return G.indirect(_graph(s, d))
 
 
 @query("F27_weighted_degree", f"WITH {_GRAPH} SELECT node, count(*) AS degree, sum(n)::BIGINT AS weight FROM (SELECT a AS node, n FROM graph UNION ALL SELECT b, n FROM graph) GROUP BY node")
@@ -384,10 +335,10 @@ def class_scores(s, d):
     return A.class_scores(_confusion(s, d))
 
 
-@query("O6_edge_delta", f"WITH {_TRADE}, o AS (SELECT a, b, count(*) AS was FROM edges WHERE volume = 1994 GROUP BY a, b), n AS (SELECT a, b, count(*) AS now FROM edges WHERE volume = 1995 GROUP BY a, b) SELECT a, b, CASE WHEN was IS NULL THEN 'added' WHEN now IS NULL THEN 'removed' ELSE 'reweighted' END AS change, was, now FROM o FULL JOIN n USING (a, b) WHERE was IS DISTINCT FROM now")
+@query("O6_edge_delta", f"WITH {_TRADE}, o AS (SELECT a, b, count(*) AS was FROM edges WHERE volume = 1996 GROUP BY a, b), n AS (SELECT a, b, count(*) AS now FROM edges WHERE volume = 1997 GROUP BY a, b) SELECT a, b, CASE WHEN was IS NULL THEN 'added' WHEN now IS NULL THEN 'removed' ELSE 'reweighted' END AS change, was, now FROM o FULL JOIN n USING (a, b) WHERE was IS DISTINCT FROM now")
 def edge_delta(s, d):
     year = lambda y: _edges(s, d).where(F.col("volume") == y).groupBy("a", "b").agg(F.count("*").alias("n"))
-    return G.delta(year(1994), year(1995))
+    return G.delta(year(1996), year(1997))
 
 
 @query("O12_centroid_cosines", "WITH e AS (SELECT label, generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings), c AS (SELECT label, dim, avg(x) AS m FROM e GROUP BY ALL), n AS (SELECT label, sqrt(sum(m * m)) AS norm FROM c GROUP BY label), u AS (SELECT label, dim, m / norm AS u FROM c JOIN n USING (label)) SELECT x.label AS a, y.label AS b, round(sum(x.u * y.u), 6) AS cosine FROM u x JOIN u y ON x.dim = y.dim AND x.label < y.label GROUP BY ALL")

@@ -33,12 +33,6 @@ def cluster_type(s, d):
     return C.weighted_type(load(s, d, "lineitem"), "l_suppkey", "l_returnflag", "l_linenumber")
 
 
-@query("E33_retired", "SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = 1994 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1995)")
-def retired(s, d):
-    of = lambda y: load(s, d, "orders").where(F.year("o_orderdate") == y).select("o_custkey").distinct()
-    return of(1994).join(of(1995), "o_custkey", "left_anti")
-
-
 @query("F6_even_sample", "SELECT o_custkey, o_orderkey FROM (SELECT *, (r * 5 + n - 1) // n AS i FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS r, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)) WHERE i < 5 AND (i * n) // 5 = r")
 def even_sample(s, d):
     return C.even_sample(load(s, d, "orders").select("o_custkey", "o_orderkey"), "o_custkey", ["o_orderkey"], 5).select("o_custkey", "o_orderkey")
@@ -87,18 +81,6 @@ def latest_first(s, d):
     return top.select("page_id", F.row_number().over(by).cast("long").alias("r"))
 
 
-@query("J5_quote_in_snippet")
-def quote_in_snippet(s, d):
-    docs = load(s, d, "documents").where("text is not null")
-    return C.quoted(docs.select("doc_id", F.substring("text", 5, 40).alias("quote")), docs.select("doc_id", F.col("text").alias("snippet")), "doc_id").select("doc_id")
-
-
-@query("K9_batches")
-def batches(s, d):
-    orders = load(s, d, "orders").withColumn("size", F.lit(1000) + F.col("o_orderkey") % 9000)
-    return C.batches(orders, "o_custkey", "o_orderkey", "size", 3, 20000)
-
-
 @query("L8_item_key", "SELECT conv_id, turn, sha256(role || chr(10) || text) AS key FROM conversations")
 def item_key(s, d):
     return load(s, d, "conversations").select("conv_id", "turn", F.sha2(F.concat("role", F.lit("\n"), "text"), 256).alias("key"))

@@ -50,3 +50,14 @@ def first_success(log: DataFrame, stage: str) -> DataFrame:
     """Of log lines (line_no, event, stage, status, output) the first completed output of a stage."""
     hit = log.where((F.col("event") == "stage_complete") & (F.col("stage") == stage) & (F.col("status") == "success"))
     return hit.agg(F.min_by("output", "line_no").alias("output"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share. Without one a local session uses its warehouse; a cluster is an error."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+    return sc.getCheckpointDir()

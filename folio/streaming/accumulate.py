@@ -1,40 +1,43 @@
-"""A registry that grows volume by volume, as a stream with an idempotent keyed merge."""
+"""A registry that grows volume by volume, as a stream whose batches are written once each."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SCHEMA = "entity long, volume string, mentions long, first_seen timestamp"
+from folio.sources.tables import shared_folder
+
+SCHEMA = "entity long, volume string, mentions long, first_seen timestamp, run long, batch long"
 
 
-def merge(registry: DataFrame, batch: DataFrame) -> DataFrame:
-    """Rows of a volume that comes again replace its old rows, so that a replay changes nothing."""
-    again = batch.select("volume").distinct()
-    return registry.join(again, "volume", "left_anti").select(batch.columns).unionByName(batch)
+def latest(registry: DataFrame) -> DataFrame:
+    """Of each volume the rows of its last run: a volume that is read again replaces itself, however many batches it came in."""
+    last = registry.groupBy("volume").agg(F.max("run").alias("run"))
+    return registry.join(last, ["volume", "run"], "left_semi")
 
 
 def totals(registry: DataFrame) -> DataFrame:
-    return registry.groupBy("entity").agg(F.sum("mentions").alias("mentions"), F.count("*").alias("volumes"), F.min("first_seen").alias("first_seen"))
+    """Mentions, volumes and first sight of each entity."""
+    return latest(registry).groupBy("entity").agg(F.sum("mentions").alias("mentions"), F.count_distinct("volume").alias("volumes"), F.min("first_seen").alias("first_seen"))
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """The registry as stored: partitions run=, batch= of its folder."""
+    return spark.read.schema(SCHEMA).parquet(f"{folder}/rows")
+
 
+def run(spark: SparkSession, source: DataFrame, folder: str | None = None, number: int = 1) -> DataFrame:
+    """Drain ``source`` (a stream of entity, volume, ts) as run ``number``; what it wrote is read back from storage.
 
-def run(spark: SparkSession, source: DataFrame, folder: str | None = None) -> DataFrame:
-    """Drain ``source`` (a stream of entity, volume, ts). A batch's result is a new version; the batch id names it, so a retry overwrites its own."""
-    base = folder or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folio-")
-    base = f"{base}/registry-{uuid.uuid4().hex}"
-    spark.createDataFrame([], SCHEMA).write.parquet(f"{base}/start")
-    last = {"path": f"{base}/start"}
+    A batch adds its own partition and rewrites nothing; a retry overwrites the partition of its number, so that it counts once. All
+    state lies in ``folder``: a restart goes on where the log ends, and needs nothing of the process before.
+    """
+    folder = folder or f"{shared_folder(spark)}/registry-{spark.sparkContext.applicationId}-{id(source)}"
 
-    def step(batch: DataFrame, number: int) -> None:
+    def step(batch: DataFrame, n: int) -> None:
         own = batch.groupBy("entity", "volume").agg(F.count("*").alias("mentions"), F.min("ts").alias("first_seen"))
-        path = f"{base}/v{number}"
-        if last["path"] != path:
-            merge(batch.sparkSession.read.schema(SCHEMA).parquet(last["path"]), own).write.mode("overwrite").parquet(path)
-            last["path"] = path
+        own.write.mode("overwrite").parquet(f"{folder}/rows/run={number}/batch={n}")
 
-    query = source.writeStream.foreachBatch(step).option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start()
+    query = source.writeStream.foreachBatch(step).option("checkpointLocation", f"{folder}/log-{number}").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(SCHEMA).parquet(last["path"])
+    return read(spark, folder)
