@@ -43,10 +43,9 @@ def cooccurrence(found: DataFrame, window: int, threshold: int, min_sections: in
 
 def free_hits(sections: DataFrame, names: DataFrame) -> DataFrame:
     """(section_id, i, name, sentence): names in sentences but for those right after "of ", which belong to an artefact."""
-    words = sentence_table(sections).select("section_id", "i", "sentence", F.explode(F.array_distinct(T.tokens(F.col("sentence")))).alias("name"))
-    met = words.join(F.broadcast(names.select("name")), "name")
-    marked = F.replace(F.lower("sentence"), F.concat(F.lit("of "), "name"), F.lit("\u0001"))
-    return met.where(F.array_contains(T.tokens(marked), F.col("name")))
+    free = F.regexp_extract_all(F.lower("sentence"), F.lit(r"(?<!of )(?<![\p{L}\p{N}_])[\p{L}\p{N}_]+"), F.lit(0))
+    words = sentence_table(sections).select("section_id", "i", "sentence", F.explode(F.array_distinct(free)).alias("name"))
+    return words.join(F.broadcast(names.select("name")), "name")
 
 
 def near_pairs(found: DataFrame, negations: str | None) -> DataFrame:
