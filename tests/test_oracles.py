@@ -55,4 +55,4 @@ def test_runs(spark, name):
 def test_entry(spark):
     import __spark_entry__
 
-    assert __spark_entry__.entry(spark).columns == ["a", "b", "windows", "sections"]
+    assert __spark_entry__.entry(spark).columns == ["a", "b", "windows", "sections", "contexts"]
