@@ -7,6 +7,7 @@ from folio.llm import (
     context_mixing,
     embedding_dedup,
     ngram_join,
+    oracles,
     packing,
     quality,
     substring_dedup,
@@ -28,4 +29,4 @@ QUERIES = {
     "op10_token_store": token_store.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES

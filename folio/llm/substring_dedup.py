@@ -273,4 +273,4 @@ def substring_dedup(
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: 20-word windows over every text of ``documents``."""
     out = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "dedup.n_words", "dedup.n_removed", F.sha2("dedup.kept_text", 256).alias("kept_sha256"), F.size("dedup.factors").alias("n_factors"))
+    return out.select("doc_id", "dedup.n_words", "dedup.n_removed", F.sha2("dedup.kept_text", 256).alias("kept_sha256"))
