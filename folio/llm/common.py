@@ -205,6 +205,11 @@ def combine(hashes: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     return mix64(acc)
 
 
+def few(df: DataFrame, rows: int, most: int) -> DataFrame:
+    """``df`` in one task a core, or as many as keep to ``most`` rows each: for tasks that each report a table of fixed size."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // most), 1))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
