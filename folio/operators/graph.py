@@ -14,16 +14,16 @@ def sentence_table(sections: DataFrame) -> DataFrame:
     return sections.select("book", "section_id", "lang", F.posexplode(T.sentences(F.col("content"))).alias("i", "sentence"))
 
 
-def roster(sections: DataFrame, size: int, least: int = 6) -> DataFrame:
-    """The most frequent long tokens as names; a fixed number of rows, so it may be broadcast."""
+def roster(sections: DataFrame, floor: int, least: int = 6) -> DataFrame:
+    """(name, n): every token of at least ``least`` characters with ``floor`` mentions or more. It grows with the texts."""
     words = sections.select(F.explode(T.tokens(F.col("content"))).alias("name")).where(f"length(name) >= {least}")
-    return words.groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name").limit(size)
+    return words.groupBy("name").agg(F.count("*").alias("n")).where(f"n >= {floor}")
 
 
 def hits(sections: DataFrame, names: DataFrame) -> DataFrame:
-    """(section_id, i, name): which sentences hold which name, counted once."""
+    """(section_id, i, name): which sentences hold which name, counted once. How to join is left to the roster's size at run time."""
     words = sentence_table(sections).select("book", "section_id", "i", F.explode(F.array_distinct(T.tokens(F.col("sentence")))).alias("name"))
-    return words.join(F.broadcast(names.select("name")), "name")
+    return words.join(names.select("name"), "name")
 
 
 def cooccurrence(found: DataFrame, window: int, threshold: int, min_sections: int) -> DataFrame:
@@ -45,7 +45,7 @@ def free_hits(sections: DataFrame, names: DataFrame) -> DataFrame:
     """(section_id, i, name, sentence): names in sentences but for those right after "of ", which belong to an artefact."""
     free = F.regexp_extract_all(F.lower("sentence"), F.lit(r"(?<!of )(?<![\p{L}\p{N}_])[\p{L}\p{N}_]+"), F.lit(0))
     words = sentence_table(sections).select("section_id", "i", "sentence", F.explode(F.array_distinct(free)).alias("name"))
-    return words.join(F.broadcast(names.select("name")), "name")
+    return words.join(names.select("name"), "name")
 
 
 def near_pairs(found: DataFrame, negations: str | None) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,11 +47,68 @@ def jaro_column(a: str, b: str):
     return F.pandas_udf(score, "double")(a, b)
 
 
+def _shared_least(la: int, lb: int, base: float) -> int:
+    """Equal characters that two names of these lengths need for a ``jaro`` of ``base``: m / la + m / lb + 1 >= 3 * base."""
+    return max(1, math.ceil((3 * base - 1) * la * lb / (la + lb) - 1e-9))
+
+
+def _marks(name: str, rank: dict[str, int]) -> list[str]:
+    """A name's characters, numbered when they repeat, in one order for all names: later repeats and rare ones first."""
+    met: dict[str, int] = {}
+    marks = []
+    for c in name:
+        met[c] = met.get(c, 0) + 1
+        marks.append((-met[c], rank.get(c, 0), c))
+    return [f"{c}{-n}" for n, _, c in sorted(marks)]
+
+
+def _base(least: float, same: int) -> float:
+    """The ``jaro`` that ``least`` takes when ``same`` of the first four characters are equal."""
+    return (least - 0.1 * same) / (1 - 0.1 * same)
+
+
+def _block_keys(name: str, marks: list[str], least: float, reach: int, together: int = 4) -> list[str]:
+    """Keys of which two names alike by ``least`` share one.
+
+    Names with three or four equal characters among the first four share these characters but one. Other names need ``m`` shared marks and so share
+    ``together`` within their first ``length - m + together``: the combinations of these, one set for each partner's length, are their keys.
+    """
+    head = name[:4].ljust(4, "\0")
+    keys = [head[:k] + "\n" + head[k + 1 :] for k in range(4)]
+    for other in range(max(1, len(name) - reach), len(name) + reach + 1):
+        needed = _shared_least(len(name), other, _base(least, 2))
+        if needed <= min(len(name), other):
+            k = min(together, needed)
+            lengths = f"{min(len(name), other)} {max(len(name), other)} "
+            keys += [lengths + "".join(some) for some in combinations(marks[: len(name) - needed + k], k)]
+    return keys
+
+
 def similar_pairs(names: DataFrame, least: float = 0.92, reach: int = 3) -> DataFrame:
-    """Pairs of names alike by ``jaro_bonus``; lengths differ by at most ``reach``, which is the join key, so nothing is lost."""
-    left = names.select(F.col("name").alias("a"), F.length("name").alias("la"))
-    right = names.select(F.col("name").alias("b"), F.length("name").alias("lb")).withColumn("la", F.explode(F.expr(f"sequence(lb - {reach}, lb + {reach})")))
-    return left.join(right, "la").where("a < b").withColumn("score", jaro_column("a", "b")).where(F.col("score") >= least).select("a", "b", "score")
+    """(a, b, score): all pairs of names alike by ``jaro_bonus`` whose lengths differ by at most ``reach``; empty and null names have none.
+
+    Blocked without loss (see ``_block_keys``); a pair's shared characters are counted in the JVM, and only pairs that can still reach ``least``
+    are scored. What comes to the driver is one row a character in use.
+    """
+    shared_folder(names.sparkSession)
+    names = names.select("name").where("name <> ''").distinct().checkpoint()
+    chars = names.select(F.explode(F.split("name", "")).alias("c")).groupBy("c").count().collect()
+    rank = {r.c: r["count"] for r in chars}
+
+    @F.pandas_udf("struct<marks: array<string>, keys: array<string>>")
+    def blocks(x: pd.Series) -> pd.DataFrame:
+        marks = [_marks(name, rank) for name in x]
+        return pd.DataFrame({"marks": marks, "keys": [_block_keys(name, m, least, reach) for name, m in zip(x, marks)]})
+
+    blocked = names.withColumn("x", blocks("name")).select("name", F.length("name").alias("l"), "x.marks", F.explode("x.keys").alias("key"))
+    # few names make many pairs: a number of partitions that isn't lowered by the names' size
+    blocked = blocked.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
+    met = blocked.toDF("a", "la", "ma", "key").join(blocked.toDF("b", "lb", "mb", "key"), "key").where(f"a < b and abs(la - lb) <= {reach}")
+    same = sum((F.expr(f"int(substr(a, {k}, 1) = substr(b, {k}, 1) and least(la, lb) >= {k})") for k in range(1, 5)), F.lit(0))
+    shared = F.size(F.array_intersect("ma", "mb"))
+    able = (shared / F.col("la") + shared / F.col("lb") + 1) / 3 >= (least - 0.1 * same) / (1 - 0.1 * same) - 1e-9
+    pairs = met.where(able).select("a", "b").distinct()
+    return pairs.withColumn("score", jaro_column("a", "b")).where(F.col("score") >= least).select("a", "b", "score")
 
 
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:

@@ -43,12 +43,14 @@ def _graph(s: SparkSession, d: str) -> DataFrame:
     return _edges(s, d).groupBy("a", "b").agg(F.count("*").alias("n"), F.max("type").alias("type"))
 
 
+MENTIONED, PRINCIPAL = 3, 20  # fewest mentions of a name, and of a leading one
+
 # pieces of SQL shared by several oracles
 _DOC = "documents"
 _TOK = r"list_filter(string_split(regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'), ' '), lambda w: w <> '')"
 _SENT = r"list_filter(string_split(regexp_replace(trim(regexp_replace({0}, '\s+', ' ', 'g')), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda s: s <> '')"
 _SENTENCES = f"sent AS (SELECT source AS book, doc_id AS section_id, i - 1 AS i, s[i] AS sentence FROM (SELECT source, doc_id, {_SENT.format('text')} AS s FROM documents), range(1, len(s) + 1) r(i))"
-_ROSTER = "roster AS (SELECT name FROM (SELECT unnest({tok}) AS name FROM documents) WHERE length(name) >= 6 GROUP BY name ORDER BY count(*) DESC, name LIMIT {k})"
+_ROSTER = "roster AS (SELECT name FROM (SELECT unnest({tok}) AS name FROM documents) WHERE length(name) >= 6 GROUP BY name HAVING count(*) >= {floor})"
 _TRADE = (
     "trade AS (SELECT c_nationkey AS src, s_nationkey AS dst, year(o_orderdate) AS volume, l_returnflag AS type, l_orderkey AS chunk, l_linenumber AS seq "
     "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey), "
@@ -164,10 +166,10 @@ def min_mentions(s, d):
     return words.groupBy("name").agg(F.count("*").alias("n")).where("n >= 3")
 
 
-@query("D9_gazetteer", f"WITH {_SENTENCES}, {_ROSTER.format(tok=_TOK.format('text'), k=200)} SELECT DISTINCT section_id, i, w AS name FROM (SELECT section_id, i, unnest({_TOK.format('sentence')}) AS w FROM sent) JOIN roster ON w = name")
+@query("D9_gazetteer", f"WITH {_SENTENCES}, {_ROSTER.format(tok=_TOK.format('text'), floor=MENTIONED)} SELECT DISTINCT section_id, i, w AS name FROM (SELECT section_id, i, unnest({_TOK.format('sentence')}) AS w FROM sent) JOIN roster ON w = name")
 def gazetteer(s, d):
     sec = _sections(s, d)
-    return G.hits(sec, G.roster(sec, 200)).select("section_id", F.col("i").cast("long").alias("i"), "name")
+    return G.hits(sec, G.roster(sec, MENTIONED)).select("section_id", F.col("i").cast("long").alias("i"), "name")
 
 
 @query("D13_carry_forward", "SELECT conv_id, turn, CASE WHEN turn - anchor <= 5 THEN anchor END AS anchor FROM (SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS anchor FROM conversations)")
@@ -177,12 +179,12 @@ def carry_forward(s, d):
 
 @query("E4_similar_names")
 def similar_names(s, d):
-    return I.similar_pairs(G.roster(_sections(s, d), 300))
+    return I.similar_pairs(G.roster(_sections(s, d), MENTIONED))
 
 
 @query("E9_clusters")
 def name_clusters(s, d):
-    return I.clusters(G.roster(_sections(s, d), 300))
+    return I.clusters(G.roster(_sections(s, d), MENTIONED))
 
 
 _CLAIMS = "claims AS (SELECT p_brand AS owner, regexp_extract(p_name, '^\\S+', 0) AS alias, split_part(p_type, ' ', 1) AS kind, count(*) AS n FROM part GROUP BY ALL)"

@@ -10,7 +10,7 @@ from folio.operators import checks as C
 from folio.operators import graph as G
 from folio.operators import narrative as R
 from folio.operators import scores as S
-from folio.plans.catalog import _ROSTER, _SENTENCES, _TOK, _TRADE, _sections, _trade, query
+from folio.plans.catalog import PRINCIPAL, _ROSTER, _SENTENCES, _TOK, _TRADE, _sections, _trade, query
 from folio.plans.rules import _SQL_BEATS, _SQL_ENT, _SQL_SPANS, _beats, _entities, _spans
 from folio.sources.tables import load
 
@@ -387,7 +387,7 @@ def cache_key(s, d):
 
 # ---- F: contexts ----------------------------------------------------------------------------------------------------------
 
-_SQL_ROSTER = _ROSTER.format(tok=_TOK.format("text"), k=40)
+_SQL_ROSTER = _ROSTER.format(tok=_TOK.format("text"), floor=PRINCIPAL)
 _NEGATIONS = "it wasn.t with|it was not with|nothing to do with|not involved with|wasn.t involved with|had no connection"
 # a name right after "of " is part of an artefact's name and doesn't count: the two together become one mark before words are taken
 _SQL_FREE = f"""free AS (SELECT section_id, i, name, sentence FROM (SELECT section_id, i, sentence, unnest(list_distinct({_TOK.format('sentence')})) AS w FROM sent) JOIN roster ON w = name WHERE list_contains({_TOK.format("replace(lower(sentence), 'of ' || name, chr(1))")}, name)),
@@ -397,7 +397,7 @@ _SQL_FREE = f"""free AS (SELECT section_id, i, name, sentence FROM (SELECT secti
 
 def _near(s, d):
     sec = _sections(s, d)
-    return G.near_pairs(G.free_hits(sec, G.roster(sec, 40)), _NEGATIONS)
+    return G.near_pairs(G.free_hits(sec, G.roster(sec, PRINCIPAL)), _NEGATIONS)
 
 
 @query("F3_tightest_span", f"WITH {_SENTENCES}, {_SQL_ROSTER}, {_SQL_FREE} SELECT section_id, a, b, gap, md5(span) AS digest FROM ctx QUALIFY row_number() OVER (PARTITION BY section_id, a, b ORDER BY gap, lo) = 1")
@@ -417,7 +417,7 @@ def context_sample(s, d):
 @query("F26_proximity", f"WITH {_SENTENCES}, {_SQL_ROSTER}, {_SQL_FREE} SELECT a, b, count(*) AS n, count(CASE WHEN gap = 0 THEN 1 END) AS same FROM near GROUP BY a, b")
 def proximity(s, d):
     sec = _sections(s, d)
-    near = G.near_pairs(G.free_hits(sec, G.roster(sec, 40)), None)
+    near = G.near_pairs(G.free_hits(sec, G.roster(sec, PRINCIPAL)), None)
     return near.groupBy("a", "b").agg(F.count("*").alias("n"), F.count(F.expr("if(gap = 0, 1, null)")).alias("same"))
 
 
@@ -430,5 +430,5 @@ def proximity(s, d):
 def cooccurrence(s, d):
     """Pairs by sentence windows, of those that have a context: both names within neighbouring sentences, no denial."""
     sec = _sections(s, d)
-    names = G.roster(sec, 40)
+    names = G.roster(sec, PRINCIPAL)
     return G.with_context(G.cooccurrence(G.hits(sec, names), 5, 5, 2), G.near_pairs(G.free_hits(sec, names), _NEGATIONS))

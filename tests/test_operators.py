@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +149,18 @@ def test_batches_by_count_and_size(spark):
     df = spark.createDataFrame(rows, "key string, id long, size long")
     got = {r.id: r.batch for r in C.batches(df, "key", "id", "size", 2, 100).collect()}
     assert got == {1: 1, 2: 1, 3: 2, 4: 3, 5: 4, 6: 1}
+
+
+def test_similar_pairs_miss_none(spark):
+    draw = random.Random(5)
+    names = {"".join(draw.choice("aabcdeé") for _ in range(draw.randint(1, 9))) for _ in range(500)}
+    names |= {n[:k] + draw.choice("abcdxyz") + n[k + 1 :] for n in list(names) for k in (draw.randrange(len(n)),)} | {"margaretha", "margareta", "margarethe", "magraretha"}
+    names = sorted(names)
+    want = {(a, b) for a, b in itertools.combinations(names, 2) if abs(len(a) - len(b)) <= 3 and I.jaro_bonus(a, b) >= 0.92}
+    got = [(r.a, r.b) for r in I.similar_pairs(spark.createDataFrame([(n,) for n in names + names[:3] + ["", None]], "name string")).collect()]
+    assert len(want) > 200 and len(got) == len(set(got)) and set(got) == want
+
+
+def test_roster_takes_every_name_above_the_floor(spark):
+    sec = spark.createDataFrame([("b", 1, "en", "barnaby barnaby oliver. " * 2 + "short"), ("b", 2, "en", "oliver helena"), ("b", 3, "en", None)], "book string, section_id long, lang string, content string")
+    assert {(r.name, r.n) for r in G.roster(sec, 3).collect()} == {("barnaby", 4), ("oliver", 3)}
