@@ -55,10 +55,22 @@ def near_pairs(found: DataFrame, negations: str | None) -> DataFrame:
     """
     x = found.select("section_id", F.col("i").alias("lo"), F.col("name").alias("n1"), F.col("sentence").alias("s1"))
     y = found.select("section_id", "i", F.col("name").alias("n2"), F.col("sentence").alias("s2")).withColumn("lo", F.explode(F.array("i", F.col("i") - 1)))
-    met = x.join(y, ["section_id", "lo"]).where("n1 <> n2 and (i > lo or n1 < n2)")
+    clean = F.lit(True)
+    if negations is not None:  # settled once a sentence and not for every pair
+        x = x.join(_clean_spans(found, negations), ["section_id", "lo"])
+        clean = F.when(F.col("i") == F.col("lo"), F.col("alone")).otherwise(F.col("with_next"))
+    met = x.join(y, ["section_id", "lo"]).where("n1 <> n2 and (i > lo or n1 < n2)").where(clean)
     span = F.when(F.col("i") == F.col("lo"), F.col("s1")).otherwise(F.concat_ws(" ", "s1", "s2"))
-    pairs = met.select("section_id", F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b"), "lo", (F.col("i") - F.col("lo")).alias("gap"), span.alias("span"))
-    return pairs if negations is None else pairs.where(~F.lower("span").rlike(negations))
+    return met.select("section_id", F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b"), "lo", (F.col("i") - F.col("lo")).alias("gap"), span.alias("span"))
+
+
+def _clean_spans(found: DataFrame, negations: str) -> DataFrame:
+    """(section_id, lo, alone, with_next): whether a sentence denies no relation, by itself and together with the next one."""
+    sentences = found.groupBy("section_id", F.col("i").alias("lo")).agg(F.min("sentence").alias("sentence"))
+    by = W.partitionBy("section_id").orderBy("lo")
+    following = F.when(F.lead("lo").over(by) == F.col("lo") + 1, F.lead("sentence").over(by))
+    denied = lambda x: F.lower(x).rlike(negations)
+    return sentences.withColumn("next", following).select("section_id", "lo", (~denied(F.col("sentence"))).alias("alone"), (~denied(F.concat_ws(" ", "sentence", "next"))).alias("with_next"))
 
 
 def tightest(contexts: DataFrame) -> DataFrame:

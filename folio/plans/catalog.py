@@ -43,7 +43,7 @@ def _graph(s: SparkSession, d: str) -> DataFrame:
     return _edges(s, d).groupBy("a", "b").agg(F.count("*").alias("n"), F.max("type").alias("type"))
 
 
-MENTIONED, PRINCIPAL = 3, 20  # fewest mentions of a name, and of a leading one
+MENTIONED, NAMED, PRINCIPAL = 3, 20, 50  # fewest mentions of a name in the gazetteer, in similarity, and in the graph
 
 # pieces of SQL shared by several oracles
 _DOC = "documents"
@@ -179,12 +179,12 @@ def carry_forward(s, d):
 
 @query("E4_similar_names")
 def similar_names(s, d):
-    return I.similar_pairs(G.roster(_sections(s, d), MENTIONED))
+    return I.similar_pairs(G.roster(_sections(s, d), NAMED))
 
 
 @query("E9_clusters")
 def name_clusters(s, d):
-    return I.clusters(G.roster(_sections(s, d), MENTIONED))
+    return I.clusters(G.roster(_sections(s, d), NAMED))
 
 
 _CLAIMS = "claims AS (SELECT p_brand AS owner, regexp_extract(p_name, '^\\S+', 0) AS alias, split_part(p_type, ' ', 1) AS kind, count(*) AS n FROM part GROUP BY ALL)"
