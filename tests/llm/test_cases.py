@@ -330,3 +330,22 @@ def test_empty_tables_null_ids_and_clashing_columns(spark, tmp_path):
         if name == "op7":
             assert all(getattr(r, c) == "x" for r in got for c in CLASH)
             assert [r.dedup.n_words for r in got if r.doc_id == 3] == [30_000] and [r.dedup.n_removed for r in got if r.doc_id == 3] == [29_999]
+
+
+def test_op3_rows_do_not_grow_with_lists_and_cells_miss_next_to_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((3000, 64))
+    x[1500:2300] = x[:800] + rng.uniform(0.05, 0.25, (800, 1)) * rng.standard_normal((800, 64))
+    x[2300:] = x[2299] + 0.02 * rng.standard_normal((700, 64))  # one large group
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = rng.integers(0, 2, len(x))
+    frame = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, label))], "vec_id long, embedding array<double>, label int")
+    near = (x @ x.T >= 0.98) & (label[:, None] == label[None]) & ~np.eye(len(x), dtype=bool)
+    exact = {r.vec_id: r.n_links for r in embedding_dedup.embedding_near_duplicates(frame).collect()}
+    assert exact == dict(enumerate(near.sum(1).tolist()))
+    cut = {r.vec_id: r.n_links for r in embedding_dedup.embedding_near_duplicates(frame, exact=64, cell=64).collect()}
+    assert all(cut[i] <= exact[i] for i in cut) and sum(cut.values()) >= 0.999 * sum(exact.values())
+    monkeypatch.setattr(embedding_dedup, "MEET_BLOCK", 100)  # blocks of a cell meet each other
+    assert exact == {r.vec_id: r.n_links for r in embedding_dedup.embedding_near_duplicates(frame).collect()}
+    quantiser = embedding_dedup.Quantiser(x, 3_000_000, float(np.sqrt(0.04)))
+    assert quantiser.directions and quantiser.tables <= 60  # before: a row for most of 1,024 lists
