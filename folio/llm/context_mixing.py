@@ -59,10 +59,6 @@ CELLS = 33
 LN10 = float(np.log(10))
 
 
-def _stretch(p):
-    return np.log(p / (1 - p))
-
-
 def _squash(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -132,8 +128,7 @@ class Speller:
 
     @staticmethod
     def _inputs(n0, n1):
-        p = (n1 + 0.2) / (n0 + n1 + 0.4)
-        st = _stretch(p)
+        st = np.log((n1 + 0.2) / (n0 + 0.2))  # not by way of a probability, which single precision rounds to 1 from some 8 million bits of one value on
         return st, st * np.minimum(1, (n0 + n1) / (n0 + n1 + 8.0))
 
     def _left_out(self) -> np.ndarray:

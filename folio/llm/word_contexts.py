@@ -36,10 +36,6 @@ LN10 = float(np.log(10))
 _START, _END = np.uint64(0x5D1F8C2B9A3E4706), np.uint64(0xB3C64E0F9D2A1785)
 
 
-def _stretch(p):
-    return np.log(p / (1 - p))
-
-
 def _squash(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -103,7 +99,7 @@ class Mixer:
 
     @staticmethod
     def _inputs(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-        st = _stretch((n1 + 0.4) / (n0 + n1 + 0.8))
+        st = np.log((n1 + 0.4) / (n0 + 0.4))  # see context_mixing: a probability would be rounded to 1
         return np.stack([st, st * (n0 + n1) / (n0 + n1 + 4.0)], axis=-1).astype(np.float32)
 
     @staticmethod

@@ -8,7 +8,8 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from folio.llm import context_mixing
+from folio.llm import context_mixing, word_contexts
+from folio.llm.common import Words
 
 
 def test_base_score_counts_and_gain(spark):
@@ -90,3 +91,20 @@ def test_an_online_pass_follows_its_rule_and_gains():
         assert np.allclose(speller.weights, weights)
         seen.append(likelihood())
     assert seen == sorted(seen) and seen[-1] > seen[0]
+
+
+def test_counts_of_a_large_corpus_stay_finite():
+    # the spelling's tables hold 20 million bits of one value at a few GB of texts, the contexts' tables at some more
+    words = [f"{a}{b}{k}".encode() for a in ("ka", "lo", "mi") for b in ("n", "st") for k in range(40)]
+    speller = context_mixing.Speller(context_mixing.count_bits(words) * 2_000_000)
+    curve, weights, sums = speller.learn([words[:100], words[100:]])
+    speller.set(curve, np.einsum("gij,gj->gi", curve, weights), sums)
+    assert np.isfinite(speller.weights).all() and np.isfinite(speller.log10([*words, b"zebra", b"\n"])).all()
+
+    data = b" ".join(words)
+    w = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    tokens = word_contexts.Tokens(w, w.hashes(lower=True))
+    mixer = word_contexts.Mixer(word_contexts.count_classes(tokens) * 20_000_000)
+    curve, weights, sums, _ = mixer.learn([tokens])
+    mixer.set(curve, np.einsum("gij,gj->gi", curve, weights), sums)
+    assert np.isfinite(mixer.weights).all() and np.isfinite(mixer.log10(tokens)).all()
