@@ -84,14 +84,16 @@ def _block_keys(name: str, marks: list[str], least: float, reach: int, together:
     return keys
 
 
-def similar_pairs(names: DataFrame, least: float = 0.92, reach: int = 3) -> DataFrame:
+def similar_pairs(names: DataFrame, least: float = 0.92, reach: int = 3, groups: DataFrame | None = None) -> DataFrame:
     """(a, b, score): all pairs of names alike by ``jaro_bonus`` whose lengths differ by at most ``reach``; empty and null names have none.
 
     Blocked without loss (see ``_block_keys``); a pair's shared characters are counted in the JVM, and only pairs that can still reach ``least``
-    are scored. What comes to the driver is one row a character in use.
+    are scored. With ``groups(name, group)`` only pairs of different groups are looked at; as one of the two is outside the largest group, the names
+    of that group meet the others and not each other. What comes to the driver is one row a character in use, and the largest group's name.
     """
     shared_folder(names.sparkSession)
-    names = names.select("name").where("name <> ''").distinct().checkpoint()
+    names = names.select("name").where("name <> ''").distinct()
+    names = (names.withColumn("group", F.col("name")) if groups is None else names.join(groups, "name")).checkpoint()
     chars = names.select(F.explode(F.split("name", "")).alias("c")).groupBy("c").count().collect()
     rank = {r.c: r["count"] for r in chars}
 
@@ -100,10 +102,16 @@ def similar_pairs(names: DataFrame, least: float = 0.92, reach: int = 3) -> Data
         marks = [_marks(name, rank) for name in x]
         return pd.DataFrame({"marks": marks, "keys": [_block_keys(name, m, least, reach) for name, m in zip(x, marks)]})
 
-    blocked = names.withColumn("x", blocks("name")).select("name", F.length("name").alias("l"), "x.marks", F.explode("x.keys").alias("key"))
+    blocked = names.withColumn("x", blocks("name")).select("name", "group", F.length("name").alias("l"), "x.marks", F.explode("x.keys").alias("key"))
     # few names make many pairs: a number of partitions that isn't lowered by the names' size
     blocked = blocked.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
-    met = blocked.toDF("a", "la", "ma", "key").join(blocked.toDF("b", "lb", "mb", "key"), "key").where(f"a < b and abs(la - lb) <= {reach}")
+    left, apart = blocked, "a < b"
+    if groups is not None:
+        top = names.groupBy("group").count().orderBy(F.desc("count"), "group").first()
+        most = F.lit(top.group if top else None)
+        left = blocked.where(F.col("group") != most)
+        apart = (F.col("ga") != F.col("gb")) & (F.expr("a < b") | (F.col("gb") == most))
+    met = left.toDF("a", "ga", "la", "ma", "key").join(blocked.toDF("b", "gb", "lb", "mb", "key"), "key").where(apart).where(f"abs(la - lb) <= {reach}")
     same = sum((F.expr(f"int(substr(a, {k}, 1) = substr(b, {k}, 1) and least(la, lb) >= {k})") for k in range(1, 5)), F.lit(0))
     shared = F.size(F.array_intersect("ma", "mb"))
     able = (shared / F.col("la") + shared / F.col("lb") + 1) / 3 >= (least - 0.1 * same) / (1 - 0.1 * same) - 1e-9
@@ -111,10 +119,41 @@ def similar_pairs(names: DataFrame, least: float = 0.92, reach: int = 3) -> Data
     return pairs.withColumn("score", jaro_column("a", "b")).where(F.col("score") >= least).select("a", "b", "score")
 
 
+def _spelt_alike(names: DataFrame, least: float = 0.92) -> DataFrame:
+    """(a, b): some of the pairs alike by ``jaro_bonus``: of the names that are one string but for one character, each with the first."""
+    own = names.select("name", F.explode(F.expr("array_distinct(transform(sequence(1, length(name)), k -> concat(left(name, k - 1), substr(name, k + 1))))")).alias("key"))
+    keys = own.union(names.select("name", F.col("name").alias("key")))
+    pairs = keys.join(keys.groupBy("key").agg(F.min("name").alias("a")), "key").where("name <> a").select("a", F.col("name").alias("b")).distinct()
+    return pairs.where(jaro_column("a", "b") >= least)
+
+
+def _stars(parts):
+    """(a, b) -> (a, b): a partition's edges as one star for each of its components, around the smallest id."""
+    root: dict = {}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for part in parts:
+        for a, b in zip(part["a"].tolist(), part["b"].tolist()):
+            x, y = find(root.setdefault(a, a)), find(root.setdefault(b, b))
+            root[max(x, y)] = min(x, y)
+    ends = [(find(x), x) for x in root if find(x) != x]
+    if ends:
+        yield pd.DataFrame(ends, columns=["a", "b"])
+
+
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, component): the smallest id reachable. Labels go along edges and then jump to their own labels."""
+    """(id, component): the smallest id reachable. Labels go along edges and then jump to their own labels.
+
+    Each partition's edges become stars first, so that long paths don't take many rounds.
+    """
     shared_folder(vertices.sparkSession)
-    both = edges.select("a", "b").union(edges.select("b", "a")).distinct().checkpoint()
+    edges = edges.where("a is not null and b is not null").select("a", "b")
+    edges = edges.mapInPandas(_stars, edges.schema).checkpoint()
+    both = edges.union(edges.select("b", "a")).distinct().checkpoint()
     label = vertices.select("id", F.col("id").alias("component")).distinct().checkpoint()
     while True:
         near = both.join(label, F.col("b") == F.col("id")).groupBy("a").agg(F.min("component").alias("low"))
@@ -129,9 +168,15 @@ def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 def clusters(names: DataFrame) -> DataFrame:
     """(name, n) -> cluster: its canonical name (the longest, then the first), its members and their count."""
     shared_folder(names.sparkSession)
-    names = names.checkpoint()  # four uses below, one scan of the texts
-    found = components(names.select(F.col("name").alias("id")), similar_pairs(names))
-    own = names.join(found.withColumnRenamed("id", "name"), "name")
+    names = names.checkpoint()  # many uses below, one scan of the texts
+    some = names.where("name <> ''")
+    near = components(names.select(F.col("name").alias("id")), _spelt_alike(some)).toDF("name", "group").checkpoint()
+    # pairs within a cluster change nothing: what is left are those between clusters
+    between = similar_pairs(some, groups=near)
+    ends = between.join(near.toDF("a", "ga"), "a").join(near.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b")).distinct()
+    whole = components(near.select(F.col("group").alias("id")), ends)
+    found = near.join(whole, F.col("group") == F.col("id")).select("name", "component")
+    own = names.join(found, "name")
     return own.groupBy("component").agg(
         F.min_by("name", F.struct(-F.length("name"), F.col("name"))).alias("canonical"), F.count("*").alias("members"), F.sum("n").alias("mentions")
     )

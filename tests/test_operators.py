@@ -178,3 +178,27 @@ def test_similar_pairs_miss_none(spark):
 def test_roster_takes_every_name_above_the_floor(spark):
     sec = spark.createDataFrame([("b", 1, "en", "barnaby barnaby oliver. " * 2 + "short"), ("b", 2, "en", "oliver helena"), ("b", 3, "en", None)], "book string, section_id long, lang string, content string")
     assert {(r.name, r.n) for r in G.roster(sec, 3).collect()} == {("barnaby", 4), ("oliver", 3)}
+
+
+def test_clusters_need_no_pair_within_the_largest_one(spark):
+    draw = random.Random(5)
+    near = {"".join(draw.choice(["ka", "ra", "ta", "na"]) for _ in range(4)) for _ in range(60)}
+    far = {"".join(draw.choice("bcdfghjklm") for _ in range(9)) for _ in range(10)} | {"zzyzzyzx", "zzyzzyzw", ""}
+    names = sorted(near | far)
+    table = spark.createDataFrame([(n, 20 + k) for k, n in enumerate(names)], "name string, n long")
+    root = {n: n for n in names}
+    for a in names:
+        for b in names:
+            if a and b and abs(len(a) - len(b)) <= 3 and I.jaro_bonus(a, b) >= 0.92:
+                low, high = sorted((root[a], root[b]))
+                root = {n: low if r == high else r for n, r in root.items()}
+    members = {r: [n for n in names if root[n] == r] for r in set(root.values())}
+    want = {(r, min(m, key=lambda n: (-len(n), n)), len(m), sum(20 + names.index(n) for n in m)) for r, m in members.items()}
+    got = {tuple(r) for r in I.clusters(table).collect()}
+    assert got == want and max(len(m) for m in members.values()) > 20
+
+    groups = spark.createDataFrame(list(root.items()), "name string, group string")
+    some = table.where("name <> ''")
+    assert I.similar_pairs(some, groups=groups).isEmpty()  # all links are within the groups
+    apart = spark.createDataFrame([(n, r if r != "zzyzzyzw" else n) for n, r in root.items()], "name string, group string")
+    assert {tuple(sorted(r[:2])) for r in I.similar_pairs(some, groups=apart).collect()} == {("zzyzzyzw", "zzyzzyzx")}
