@@ -33,10 +33,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import hash_runs, list_parts, slices, table
+from folio.llm.common import SLICE_BYTES, hash_runs, list_parts, slices, table
 from folio.llm.pieces import Pieces, Ragged
 
 ROWS = 200_000  # token-position rows in one recursive query
+LONG = 100  # bytes of a pre-token
 
 ENCODE = """
 WITH RECURSIVE step(round, g, word, id, size) AS (
@@ -155,6 +156,50 @@ def coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
+class Sizes(dict):
+    """Numbers of ids of pre-tokens, for who needs no ids: one where the vocabulary has the pre-token (every token encodes to itself), else
+    what is left when its lowest pairs are merged one at a time. Long pre-tokens, where that takes quadratic time, go to the recursive query.
+    At most ``limit`` pre-tokens are remembered, short ones."""
+
+    def __init__(self, path: str, pattern: str, limit: int = 300_000):
+        self.path, self.pattern, self.limit, self.cut = path, pattern, limit, regex.compile(pattern)
+        with open(path, "rb") as lines:
+            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+    def __missing__(self, word: str) -> int:
+        piece = word.encode()
+        n = 1 if piece in self.ranks else self._merged(piece) if len(piece) <= LONG else int(coder(self.path, self.pattern).contract([piece])[0][0])
+        if len(piece) <= LONG:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = n
+        return n
+
+    def _merged(self, piece: bytes) -> int:
+        none = len(self.ranks) + 1_000_000
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        near = [self.ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while near and (low := min(near)) < none:
+            i = near.index(low)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del near[i]
+            if i:
+                near[i - 1] = self.ranks.get(parts[i - 1] + parts[i], none)
+            if i < len(near):
+                near[i] = self.ranks.get(parts[i] + parts[i + 1], none)
+        return len(parts)
+
+    def count(self, text: str) -> int:
+        if len(text) < SLICE_BYTES:
+            return sum(map(self.__getitem__, self.cut.findall(text)))
+        return sum(self[m.group()] for m in self.cut.finditer(text))
+
+
+@lru_cache(maxsize=1)
+def sizes(path: str, pattern: str) -> Sizes:
+    return Sizes(path, pattern)
+
+
 def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, ids array<int>)."""
 

@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.byte_bpe import coder
-from folio.llm.common import checkpoint, slices, table
+from folio.llm.byte_bpe import sizes as token_sizes
+from folio.llm.common import checkpoint, table
 
 SIZES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 32
@@ -44,10 +44,10 @@ def _lengths(path: str, pattern: str):
     """(id, key, text) -> (id, key, n): BPE ids and one end."""
 
     def run(batches):
-        c = coder(path, pattern)
+        known = token_sizes(path, pattern)
         for batch in batches:
-            n = [np.diff(c.encode(data, offsets)[1]) + 1 for _, _, data, offsets in slices(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(n) if n else [], pa.int64())], names=["id", "key", "n"])
+            n = [known.count(text.as_py() or "") + 1 for text in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["id", "key", "n"])
 
     return run
 

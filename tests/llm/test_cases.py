@@ -349,3 +349,18 @@ def test_op3_rows_do_not_grow_with_lists_and_cells_miss_next_to_nothing(spark, m
     assert exact == {r.vec_id: r.n_links for r in embedding_dedup.embedding_near_duplicates(frame).collect()}
     quantiser = embedding_dedup.Quantiser(x, 3_000_000, float(np.sqrt(0.04)))
     assert quantiser.directions and quantiser.tables <= 60  # before: a row for most of 1,024 lists
+
+
+def test_lengths_without_ids_are_the_coder_s_and_memory_is_bounded():
+    import public_tokenizers
+
+    from folio.llm import byte_bpe
+
+    args = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    coder, sizes = byte_bpe.coder(*args), byte_bpe.Sizes(*args, limit=50)
+    texts = ["", "a", "x" * 5000 + " ok", "日本語テスト" * 300, "a" * 99 + "bbb", " \n\t  x y", "I'll won't 12345 -- ÄÖÜ", *(f"wort{k}keit ungzb{k}" for k in range(80))]
+    for t in texts:
+        data = t.encode()
+        ids, _ = coder.encode(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        assert sizes.count(t) == len(ids), t[:20]
+        assert len(sizes) <= 50
