@@ -37,6 +37,7 @@ from folio.llm.common import SLICE_BYTES, hash_runs, list_parts, slices, table
 from folio.llm.pieces import Pieces, Ragged
 
 ROWS = 200_000  # token-position rows in one recursive query
+REMEMBERED = 700_000  # pieces, words and runs that a worker remembers, of each: some 50 bytes and the piece itself
 LONG = 100  # bytes of a pre-token
 
 ENCODE = """
@@ -86,9 +87,9 @@ class Coder:
         top = max(self.ranks.values()) + 1
         self.opens = np.zeros(top, bool)  # tokens that start with a space: decoding is cut in front of them
         self.opens[[r for t, r in tokens if t[:1] == b" "]] = True
-        self.words: Ragged = Ragged(np.int32, 1_000_000)
-        self.texts: Ragged = Ragged(np.int32)
-        self.runs: Ragged = Ragged(np.uint8)
+        self.words: Ragged = Ragged(np.int32, REMEMBERED)
+        self.texts: Ragged = Ragged(np.int32, REMEMBERED)
+        self.runs: Ragged = Ragged(np.uint8, REMEMBERED)
 
     def contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids, ids) of pre-tokens, by the recursive query."""

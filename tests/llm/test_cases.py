@@ -364,3 +364,4 @@ def test_lengths_without_ids_are_the_coder_s_and_memory_is_bounded():
         ids, _ = coder.encode(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
         assert sizes.count(t) == len(ids), t[:20]
         assert len(sizes) <= 50
+    assert max(m.limit for m in (coder.words, coder.texts, coder.runs)) <= 1_000_000
