@@ -447,24 +447,21 @@ def lm_scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "
     rows = texts.select("id", "text").mapInArrow(
         _texts(known, end, contexts), f"id struct<id:{kind},t:bigint>, h long, n long, bytes long, known long, base double, " + ", ".join(f"{m} double" for m in m_names)
     )
-    summary = rows.where("h is null").select("id", F.col("n").alias("n_tokens"), "bytes", "known", "base", *m_names)
     weight = float(np.log10(n + 0.1 * (v + 1)))
-    none = F.lit(0).cast("long")
-    others = (
-        rows.where("h is not null")
-        .select("id", "h", "n")
-        .join(scored.withColumnRenamed("h", "w"), F.col("h") == F.col("w"))
-        .select(
-            "id",
-            none.alias("n_tokens"),
-            none.alias("bytes"),
-            F.expr("if(c > 0, n, 0)").alias("known"),
-            (F.col("n") * (F.log10(F.col("c") + 0.1) - weight)).alias("base"),
-            *((F.col("n") * F.col(p)).alias(m) for p, m in zip(p_names, m_names)),
-        )
+    # texts' own rows go through the join without a partner, under keys of their own that spread them: so the texts are scored once, not for each side of a union
+    keyed = rows.withColumn("own", F.col("h").isNull()).withColumn("h", F.coalesce("h", F.xxhash64("id")))
+    met = keyed.join(scored.withColumnRenamed("c", "met").withColumnRenamed("h", "w"), (F.col("h") == F.col("w")) & ~F.col("own"), "left")
+    zero, none = F.lit(0).cast("long"), F.lit(0.0)
+    each = met.select(
+        "id",
+        F.when(F.col("own"), F.col("n")).otherwise(zero).alias("n_tokens"),
+        F.when(F.col("own"), F.col("bytes")).otherwise(zero).alias("bytes"),
+        F.when(F.col("own"), F.col("known")).when(F.col("met") > 0, F.col("n")).otherwise(zero).alias("known"),
+        F.when(F.col("own"), F.col("base")).otherwise(F.col("n") * (F.log10(F.coalesce("met", zero) + 0.1) - weight)).alias("base"),
+        *(F.when(F.col("own"), F.col(m)).otherwise(F.coalesce(F.col("n") * F.col(p), none)).alias(m) for p, m in zip(p_names, m_names)),
     )
     # rows that are there several times share a key: their sums are divided among them
-    sums = summary.union(others).groupBy("id").agg(*(F.sum(x).alias(x) for x in ("n_tokens", "bytes", "known", "base", *m_names)), F.sum(F.expr("if(n_tokens > 0, 1, 0)")).alias("times"))
+    sums = each.groupBy("id").agg(*(F.sum(x).alias(x) for x in ("n_tokens", "bytes", "known", "base", *m_names)), F.sum(F.expr("if(n_tokens > 0, 1, 0)")).alias("times"))
     parts = [F.col(m) / F.col("times") + F.lit(float(b)) for m, b in zip(m_names, counts.prior) if np.isfinite(b)]
     most = F.greatest(*parts) if len(parts) > 1 else parts[0]
     out = sums.withColumn("most", most).select(

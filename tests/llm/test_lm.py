@@ -108,3 +108,9 @@ def test_counts_of_a_large_corpus_stay_finite():
     curve, weights, sums, _ = mixer.learn([tokens])
     mixer.set(curve, np.einsum("gij,gj->gi", curve, weights), sums)
     assert np.isfinite(mixer.weights).all() and np.isfinite(mixer.log10(tokens)).all()
+
+
+def test_texts_are_scored_once(spark):
+    docs = spark.createDataFrame([(k, f"the cat {k} sat", "en") for k in range(20)], "doc_id long, text string, lang string")
+    got = context_mixing.lm_scores(docs, F.col("doc_id") < 10)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
