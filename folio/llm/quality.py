@@ -8,8 +8,8 @@ counts of counts (which give its three discounts) and each context's total and f
 
 **Storage.** The model is two pairs of sorted hash arrays, for all languages and orders together: 64-bit hashes of n-grams
 with their log2 probabilities, and of contexts with their log2 back-off weights. Every lookup of a score is a binary search in them, from
-the longest n-gram down. At most ``ENTRIES`` n-grams are stored (that bounds what is sent and broadcast, also over many languages):
-beyond that the rarest are left out by a common least count, and their mass goes to the back-off, so that all distributions still sum to 1.
+the longest n-gram down. At most ``ENTRIES`` n-grams are broadcast. Where there are more, over all languages, the probabilities of all n-grams are made by
+joins; the most frequent ones of the highest order are broadcast as a sorted hash array, and a text's others meet theirs in a shuffled join, so no n-gram is left out.
 
 **Rules.** ``base_failed`` holds for texts under ``MIN_WORDS`` words, or with over half of the words in
 repeated three-word windows. Otherwise a text is rejected if its log2 perplexity is outside its language's band, by character
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import Words, checkpoint, combine, mix64, signed, slices, table
+from folio.llm.common import Words, checkpoint, combine, heaviest, mix64, signed, slices, table
 
 MIN_WORDS = 50
 ORDER = 4
@@ -172,7 +172,7 @@ class Model:
 
 
 def _score(model, numbers: dict):
-    """(id, lang, text) -> base counts, bits a character and bits a word."""
+    """(id, lang, text) -> base counts, number of symbols, their bits, and the n-grams that the model has no word of: language's number, codes and times."""
 
     def run(batches):
         known = model.value
@@ -183,18 +183,24 @@ def _score(model, numbers: dict):
                 rows = base_counts(data, offsets)
                 key, text = grams(*symbols(data, offsets), which[i:j])
                 distinct, back = np.unique(key, return_inverse=True)
-                bits = -np.bincount(text, known.log2(distinct, own)[back], minlength=j - i)
+                found = known.log2(distinct, own)
+                bits = -np.bincount(text, np.nan_to_num(found)[back], minlength=j - i)
                 n = np.bincount(text, minlength=j - i)
+                rare = np.isnan(found)[back]  # in the order of texts
+                ends = np.concatenate([[0], np.cumsum(np.bincount(text[rare], minlength=j - i))])
+                codes = signed(key[rare] & np.uint64((1 << SYMBOL_BITS * ORDER) - 1))
                 none = (n == 0) | (own[which[i:j]] < 0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[i:j],
                         batch.column(1)[i:j],
                         *(pa.array(c, pa.int64()) for c in rows),
-                        pa.array(bits / np.maximum(n, 1), mask=none),
-                        pa.array(bits / np.maximum(rows[0], 1), mask=none),
+                        pa.array(n, pa.int64()),
+                        pa.array(bits, mask=none),
+                        pa.array(own[which[i:j]], pa.int32()),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes)),
                     ],
-                    names=["id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "bits", "word_bits"],
+                    names=["id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "grams", "bits", "number", "rare"],
                 )
 
     return run
@@ -237,8 +243,8 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [np.diff(w.at), total(solid & ((data & 0xC0) != 0x80)), total(_SIGNS[data]), np.array(lines), np.array(repeats)]
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", entries: int = ENTRIES) -> tuple[Model, dict]:
-    """(the model of all languages, each language's number), from all whole texts."""
+def count(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, dict, list]:
+    """((number, k, code, n, d) of all n-grams of all whole texts, each language's number, a histogram of their counts)."""
     top = docs.select(F.col(lang_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(_count, "lang string, code long, n long")
     level = checkpoint(top.groupBy("lang", "code").agg(F.sum("n").alias("n")))
     orders = [level.withColumn("k", F.lit(ORDER))]
@@ -258,16 +264,20 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", entri
         own = of.setdefault((r.lang, r.k), {})
         own[r.n] = own.get(r.n, 0) + r["count"]
     cut = {key: discounts(own) for key, own in of.items()}
-    least = 1
-    while sum(r["count"] for r in rows if r.k == 1 or 2**r.power >= least) > entries and least < 1 << 40:
-        least *= 2
     spark = docs.sparkSession
     table_ = spark.createDataFrame([(x, k, numbers[x], *map(float, d)) for (x, k), d in cut.items()] or [(None, 0, 0, 0.0, 0.0, 0.0)], "l string, o int, number int, d1 double, d2 double, d3 double")
     with_d = (
         counted.join(F.broadcast(table_), F.col("lang").eqNullSafe(F.col("l")) & (F.col("k") == F.col("o")))
         .withColumn("d", F.expr("case n when 1 then d1 when 2 then d2 else d3 end"))
-        .withColumn("stored", F.expr(f"k = 1 or n >= {least}"))
     )
+    return with_d.select("number", "k", "code", "n", "d"), numbers, rows
+
+
+def model_of(counted: DataFrame, rows: list, entries: int) -> Model:
+    least = 1
+    while sum(r["count"] for r in rows if r.k == 1 or 2**r.power >= least) > entries and least < 1 << 40:
+        least *= 2
+    with_d = counted.withColumn("stored", F.expr(f"k = 1 or n >= {least}"))
     kept = with_d.where("stored").select(F.col("number").alias("lang"), "k", "code", "n", "d").toArrow()
     contexts = (
         with_d.groupBy(F.col("number").alias("lang"), "k", F.shiftright("code", SYMBOL_BITS).alias("ctx"))
@@ -276,7 +286,42 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", entri
         .drop("any")
         .toArrow()
     )
-    return Model(*({c: t.column(c).to_numpy() for c in t.column_names} for t in (kept, contexts))), numbers
+    return Model(*({c: t.column(c).to_numpy() for c in t.column_names} for t in (kept, contexts)))
+
+
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", entries: int = ENTRIES) -> tuple[Model, dict]:
+    """(the model of all languages, each language's number), from all whole texts."""
+    counted, numbers, rows = count(docs, lang_col, text_col)
+    return model_of(counted, rows, entries), numbers
+
+
+def probabilities(counted: DataFrame) -> DataFrame:
+    """(number, code, n, log2) of all n-grams of the highest order, by joins from the lowest order up."""
+    lower = None
+    for k in range(1, ORDER + 1):
+        own = counted.where(F.col("k") == k).withColumn("ctx", F.shiftright("code", SYMBOL_BITS))
+        totals = own.groupBy("number", "ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("free"))
+        own = own.join(totals, ["number", "ctx"])
+        if lower is None:
+            below = F.lit(2.0**-SYMBOL_BITS)
+        else:
+            own = own.withColumn("suffix", F.col("code").bitwiseAND(F.lit((1 << SYMBOL_BITS * (k - 1)) - 1))).join(lower, ["number", "suffix"])
+            below = F.col("below")
+        p = own.select("number", "code", "n", ((F.col("n") - F.col("d") + F.col("free") * below) / F.col("total")).alias("p"))
+        lower = p.select("number", F.col("code").alias("suffix"), F.col("p").alias("below"))
+    return checkpoint(p.select("number", "code", "n", F.log2("p").alias("log2")))
+
+
+class Frequent:
+    """The most frequent n-grams of the highest order as sorted hashes with their log2 probabilities; others are NaN."""
+
+    def __init__(self, rows: pa.Table):
+        code = rows.column("code").to_numpy()
+        self.stored = Hashed(_hash(rows.column("number").to_numpy(), ORDER, code), rows.column("log2").to_numpy(), np.nan)
+
+    def log2(self, key: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        key = signed(key)
+        return self.stored(_hash(lang[key >> SYMBOL_BITS * ORDER], ORDER, key & ((1 << SYMBOL_BITS * ORDER) - 1)))
 
 
 def _band(rows: DataFrame, measure: str, width: float, least: float) -> DataFrame:
@@ -298,17 +343,34 @@ def _band(rows: DataFrame, measure: str, width: float, least: float) -> DataFram
 
 
 def quality_rules(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: float = WIDTH, least: float = LEAST
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: float = WIDTH, least: float = LEAST, entries: int = ENTRIES
 ) -> DataFrame:
     """id_col, lang, base counts, bits (a character), word_bits, both bands, base_failed, kept."""
-    model, numbers = train(docs, lang_col, text_col)
+    counted, numbers, histogram = count(docs, lang_col, text_col)
+    whole = sum(r["count"] for r in histogram) <= entries
+    if not whole:
+        table_ = probabilities(counted)
+    model = model_of(counted, histogram, entries) if whole else Frequent(heaviest(table_, "n", entries).select("number", "code", "log2").toArrow())
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+        _score(sent, numbers), f"id {kind}, lang string, {', '.join(f'{c} long' for c in counts)}, grams long, bits double, number int, rare array<long>"
+    )
+    if not whole:  # n-grams that aren't broadcast meet their probabilities in a join, whose rows know their text by a number
+        rows = checkpoint(rows.withColumn("at", F.monotonically_increasing_id()))
+        met = rows.select("at", "number", F.explode("rare").alias("code")).groupBy("at", "number", "code").agg(F.count("*").alias("times"))
+        others = met.join(table_.drop("n"), ["number", "code"]).groupBy("at").agg(F.sum(F.col("times") * F.col("log2")).alias("more"))
+        rows = rows.join(others, "at", "left").withColumn("bits", F.col("bits") - F.coalesce("more", F.lit(0.0)))
     rows = checkpoint(
-        docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-        .mapInArrow(_score(sent, numbers), f"id {kind}, lang string, {', '.join(f'{c} long' for c in counts)}, bits double, word_bits double")
-        .withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words"))
+        rows.select(
+            "id",
+            "lang",
+            *counts,
+            (F.col("bits") / F.greatest("grams", F.lit(1))).alias("bits"),
+            (F.col("bits") / F.greatest("n_words", F.lit(1))).alias("word_bits"),
+            F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words").alias("base_failed"),
+        )
     )
     out = rows
     for measure in ("bits", "word_bits"):

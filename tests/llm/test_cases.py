@@ -365,3 +365,19 @@ def test_lengths_without_ids_are_the_coder_s_and_memory_is_bounded():
         assert sizes.count(t) == len(ids), t[:20]
         assert len(sizes) <= 50
     assert max(m.limit for m in (coder.words, coder.texts, coder.runs)) <= 1_000_000
+
+
+def test_no_ngram_is_left_out_where_not_all_are_broadcast(spark):
+    texts = [f"the {a} {b} runs over {a}{b} and rests {k}" * (1 + k % 3) for k, (a, b) in enumerate((a, b) for a in ("fox", "hare", "mouse") for b in ("quick", "slow", "sly"))]
+    rows = [(k % 7, t, ("en", "fr", None)[k % 3]) for k, t in enumerate(texts)] + [(50, None, "en"), (51, "", "xx"), (3, texts[3], "en")]
+    docs = spark.createDataFrame(rows, TEXT)
+
+    def run(entries):
+        return sorted(quality.quality_rules(docs, entries=entries).select("doc_id", "lang", "n_words", "bits", "word_bits", "base_failed").collect(), key=str)
+
+    whole = run(1_000_000)
+    for entries in (0, 40):
+        got = run(entries)
+        assert [r[:3] for r in got] == [r[:3] for r in whole] and len(got) == len(rows)
+        for a, b in zip(got, whole):
+            assert (a.bits is None) == (b.bits is None) and (a.bits is None or (a.bits, a.word_bits) == pytest.approx((b.bits, b.word_bits), rel=1e-5))
