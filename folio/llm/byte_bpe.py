@@ -162,7 +162,7 @@ class Sizes(dict):
     what is left when its lowest pairs are merged one at a time. Long pre-tokens, where that takes quadratic time, go to the recursive query.
     At most ``limit`` pre-tokens are remembered, short ones."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 300_000):
+    def __init__(self, path: str, pattern: str, limit: int = REMEMBERED):
         self.path, self.pattern, self.limit, self.cut = path, pattern, limit, regex.compile(pattern)
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
