@@ -4,17 +4,18 @@
 the place of letters become Latin letters, case is dropped, every other character becomes one space. A
 digit or sign is a letter only next to letters, so numbers stay numbers (that is: they vanish).
 
-**Lexicon.** Entries are learned from labelled documents: whole words and word beginnings of
+**Lexicon.** Entries are learned from *all* labelled documents: whole words and word beginnings of
 ``STEMS`` letters, taken where the labels depend on them (likelihood ratio at least ``MIN_G``, support at least
 ``MIN_SHARE`` of the toxic documents), weighted by the log odds of their document counts. Documents of one label that
 share ``MIN_HASHES`` smallest hashes of their words (near copies) count once, or copies of one toxic text would make all its words
-entries; of their words those count that any of them has. The sample is bounded: about ``SAMPLE`` labelled documents, a share by hash of their id, and the lexicon with it. *Exception
-phrases* are word pairs that hold an entry and are not toxic more often than labelled documents are;
-an entry inside one doesn't count.
+entries; of their words those count that any of them has. Toxic documents are counted first: what has too little support there is no
+entry, so the others are counted for the rest only, whose number the floor bounds whatever the corpus. *Exception
+phrases* are word pairs that hold an entry and are not toxic more often than labelled documents are (support at least ``PAIR_SHARE`` of
+the labelled documents); an entry inside one doesn't count.
 
 **Score.** One automaton finds entries and exceptions in one pass. Matched weight over text length,
-matched weight alone and the presence of a match go through a logistic curve fitted on the sample,
-so the score is 0 to 1 and rises with the weight in a text of a given length.
+matched weight alone and the presence of a match go through a logistic curve fitted on all labelled documents
+(a Newton step is a sum in Spark), so the score is 0 to 1 and rises with the weight in a text of a given length.
 
 Null and empty texts have no match and get the curve's lowest score. Without any toxic label the lexicon
 is empty and all scores are 0. Labels, language, source and id are no inputs of a score. Several labels of one id count as the
@@ -34,13 +35,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import Words, checkpoint, hashed_share, mix64, table
+from folio.llm.common import Words, checkpoint, few, mix64, table
 
-SAMPLE = 12_000  # labelled documents that the lexicon and the curve are fitted on, at most
 STEMS = (4, 5, 6)
 MIN_G = 20.0
 MIN_SHARE = 0.01
+PAIR_SHARE = 1 / 2400
 MIN_HASHES = 4
+SENT = 1_000_000  # labels that are broadcast; more of them meet their texts in a shuffled join
+FLUSH = 200_000  # entries that a task holds before it reports
+FILTER_BITS = 1 << 23  # of the map of texts that may have near copies
+TASK_ROWS = 1_000_000  # rows that a task sums for a step of the curve, or more if there are fewer tasks than cores
 
 # Look-alike letters and the Latin letters they stand for.
 _GREEK_CYRILLIC = "αβγεικνοπρτυχѕіјаеорсухкмнтвԁɡ"
@@ -92,21 +97,53 @@ def _unmask(word: str) -> str:
     return edge.translate(_SIGN)
 
 
-def _features(batches):
+def _folded(batches):
+    """(text, toxic) -> (folded, near, toxic); near: what near copies share, null for a text without words."""
     for batch in batches:
-        rows: list[tuple[int, int, list[str]]] = []
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            folded = fold(text or "")
-            words = set(folded.split())
-            raw = np.frombuffer(folded.encode(), np.uint8)
-            own = Words(raw, np.array([0, len(raw)]))
-            h = np.unique(own.hashes(lower=False))
-            near = "".join(f"{int(mix64(h ^ np.uint64(k * _ODD & _MASK)).min()):016x}" for k in range(1, MIN_HASHES + 1)) if len(h) else ""
-            found = {f"{w} " for w in words} | {w[:k] for w in words for k in STEMS if len(w) > k}
-            rows.append((near, toxic, sorted(found)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.list_(pa.string())))], names=["near", "toxic", "found"]
-        )
+        folded = [fold(t or "") for t in batch.column(0).to_pylist()]
+        near = []
+        for text in folded:
+            raw = np.frombuffer(text.encode(), np.uint8)
+            h = np.unique(Words(raw, np.array([0, len(raw)])).hashes(lower=False))
+            near.append(b"".join(int(mix64(h ^ np.uint64(k * _ODD & _MASK)).min()).to_bytes(8, "big") for k in range(1, MIN_HASHES + 1)) if len(h) else None)
+        yield pa.RecordBatch.from_arrays([pa.array(folded, pa.string()), pa.array(near, pa.binary()), batch.column(1)], names=["folded", "near", "toxic"])
+
+
+def _entries(several, among):
+    """(folded, near, bit) -> (near, found, n): entries of a task's texts, of those without near copies summed up under no near."""
+
+    def run(batches):
+        alone: Counter[str] = Counter()
+        held: dict[bytes, set[str]] = {}
+
+        def report():
+            near, found = [None] * len(alone) + list(held), [[e] for e in alone] + [list(s) for s in held.values()]
+            out = [pa.array(near, pa.binary()), pa.array(found, pa.list_(pa.string())), pa.array([*alone.values(), *(1 for _ in held)], pa.int64())]
+            alone.clear()
+            held.clear()
+            return pa.RecordBatch.from_arrays(out, names=["near", "found", "n"])
+
+        size = 0
+        for batch in batches:
+            shared = several.value[batch.column(2).to_numpy(zero_copy_only=False)].tolist()
+            for text, near, again in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shared):
+                words = set(text.split())
+                found = {f"{w} " for w in words} | {w[:k] for w in words for k in STEMS if len(w) > k}
+                if among is not None:
+                    found &= among.value
+                if again:
+                    own = held.setdefault(near, set())
+                    size += len(found - own)
+                    own |= found
+                else:
+                    alone.update(found)
+                if len(alone) + size + len(held) >= FLUSH:
+                    yield report()
+                    size = 0
+        if alone or held:
+            yield report()
+
+    return run
 
 
 def _pairs(entries: set[str]):
@@ -115,10 +152,11 @@ def _pairs(entries: set[str]):
     def run(batches):
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = fold(text or "").split()
+                words = text.split()
                 held = [f"{w} " in entries or any(w[:k] in entries for k in STEMS) for w in words]
                 pairs = sorted({f"{a} {b}" for a, b, x, y in zip(words, words[1:], held, held[1:]) if x or y})
-                yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.string()), pa.array([toxic] * len(pairs), pa.int32())], names=["pair", "toxic"])
+                if pairs:
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.string()), pa.array([toxic] * len(pairs), pa.int32())], names=["pair", "toxic"])
 
     return run
 
@@ -137,7 +175,9 @@ class Lexicon:
 
     def weigh(self, text: str) -> tuple[float, int, int]:
         """(matched weight, matches, words) of a text; of overlapping entries at one place the heaviest counts."""
-        folded = fold(text)
+        return self.weigh_folded(fold(text))
+
+    def weigh_folded(self, folded: str) -> tuple[float, int, int]:
         words = folded.count(" ") - 1 if len(folded) > 1 else 0
         if not len(self.automaton):
             return 0.0, 0, words
@@ -167,21 +207,35 @@ def inputs(weight: np.ndarray, hits: np.ndarray, words: np.ndarray) -> np.ndarra
     return np.stack([np.ones(len(weight)), np.log1p(100 * weight / (words + 20)), np.log1p(weight), np.minimum(hits, 1)], axis=1)
 
 
-def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+def _step(beta: np.ndarray):
+    """(toxic, weight, hits, words, n) -> (slope and curvature of the likelihood at ``beta``, summed in the task)."""
+
+    def run(batches):
+        total = np.zeros(len(beta) * (len(beta) + 1))
+        for batch in batches:
+            y, weight, hits, words, n = (batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in range(5))
+            x = inputs(weight, hits, words)
+            p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+            total += np.concatenate([x.T @ (n * (y - p)), ((x * (n * p * (1 - p))[:, None]).T @ x).ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["x"])
+
+    return run
+
+
+def _curve(rows: DataFrame, k: int = 4, ridge: float = 0.05) -> np.ndarray:
     """Logistic regression by Newton steps; slopes are kept at or above 0, so more weight never lowers a score."""
-    active = np.ones(x.shape[1], bool)
+    active = np.ones(k, bool)
     while True:
-        beta = np.zeros(x.shape[1])
-        own = x[:, active]
-        b = np.zeros(own.shape[1])
+        beta = np.zeros(k)
         for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(own @ b, -30, 30)))
-            step = np.linalg.solve((own * (p * (1 - p))[:, None]).T @ own + ridge * np.eye(own.shape[1]), own.T @ (y - p) - ridge * b)
-            b += step
+            got = rows.mapInArrow(_step(beta), "x array<double>").collect()  # a row a task, of which there are few
+            total = np.sum([r.x for r in got], axis=0)
+            slope, curvature = total[:k], total[k:].reshape(k, k)
+            step = np.linalg.solve(curvature[np.ix_(active, active)] + ridge * np.eye(int(active.sum())), slope[active] - ridge * beta[active])
+            beta[active] += step
             if np.abs(step).max() < 1e-8:
                 break
-        beta[active] = b
-        wrong = (beta < 0) & (np.arange(len(beta)) > 0)
+        wrong = (beta < 0) & (np.arange(k) > 0)
         if not wrong.any():
             return beta
         active &= ~wrong
@@ -199,42 +253,59 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from labelled rows (``labels``: id and a 0/1 label, null is no label)."""
     known = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("toxic")).where("toxic in (0, 1) and i is not null")
     known = checkpoint(known.groupBy("i").agg(F.max("toxic").alias("toxic")))
-    known = known.where(hashed_share("i", SAMPLE / max(1, known.count())))
-    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "i").select("text", "toxic")
-    texts = checkpoint(texts)  # bounded by SAMPLE documents
-    found = checkpoint(texts.mapInArrow(_features, "near string, toxic int, found array<string>"))
-    found = checkpoint(found.select("near", "toxic", F.explode("found").alias("e")).distinct())
-    n = {r.toxic: r.n for r in found.groupBy("toxic").agg(F.countDistinct("near").alias("n")).collect()}
-    n1, n0 = n.get(1, 0), n.get(0, 0)
+    few_labels = known.count() <= SENT
+    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known) if few_labels else known, "i").select("text", "toxic")
+    texts = checkpoint(texts.mapInArrow(_folded, "folded string, near binary, toxic int"))
+    bit = F.expr(f"cast(pmod(xxhash64(near, toxic), {FILTER_BITS}) as int)").alias("bit")
+    groups = checkpoint(texts.groupBy("near", "toxic").agg(F.count("*").alias("n")))
+    sizes = {r.toxic: (r.groups, r.texts) for r in groups.groupBy("toxic").agg(F.count("near").alias("groups"), F.sum("n").alias("texts")).collect()}
+    n1, n0 = (sizes.get(k, (0, 0))[0] for k in (1, 0))
     if not n1 or not n0:
         return Model({}, [], [-30.0 if not n1 else 30.0, 0.0, 0.0, 0.0])
-    counts = found.groupBy("e").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    # a bit map of fixed size: whoever isn't in it has no near copy and is summed up in its task; the others are told apart by what they share
+    map_ = np.zeros(FILTER_BITS, bool)
+    map_[groups.where("n > 1 and near is not null").select(bit).distinct().toArrow().column("bit").to_numpy()] = True
+    context = docs.sparkSession.sparkContext
+    several = context.broadcast(map_)
+
+    def counted(toxic: int, among=None) -> DataFrame:
+        own = texts.where((F.col("toxic") == toxic) & F.col("near").isNotNull()).select("folded", "near", bit)
+        found = own.mapInArrow(_entries(several, among), "near binary, found array<string>, n long").select("near", F.explode("found").alias("e"), "n")
+        once = found.groupBy("near", "e").agg(F.sum("n").alias("n"))
+        return once.groupBy("e").agg(F.sum(F.expr("if(near is null, n, 1)")).alias("n"))
+
     least = max(3, math.ceil(MIN_SHARE * n1))
-    # likelihood ratio of the 2 x 2 table, for entries that speak for the label
-    t, c = F.col("t").cast("double"), (F.col("n") - F.col("t")).cast("double")
+    rows = counted(1).where(F.col("n") >= least).collect()  # at most what toxic documents have on average over MIN_SHARE
+    others = {r.e: r.n for r in counted(0, context.broadcast({r.e for r in rows})).collect()}
+    rows.sort(key=lambda r: r.e)
+    t, c = np.array([r.n for r in rows], float), np.array([others.get(r.e, 0) for r in rows], float)
 
     def cell(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(F.lit(0.0))
-
-    total, share = float(n1 + n0), n1 / (n1 + n0)
-    rest = F.lit(total) - F.col("n")
-    g = 2 * (cell(t, F.col("n") * share) + cell(c, F.col("n") * (1 - share)) + cell(n1 - t, rest * share) + cell(n0 - c, rest * (1 - share)))
-    odds = F.log(((t + 0.5) / (n1 + 1)) / ((c + 0.5) / (n0 + 1)))
-    rows = counts.where(F.col("t") >= least).select("e", odds.alias("w"), g.alias("g")).where(f"w > 2.5 and g >= {MIN_G}").collect()  # bounded by the sample's words
-    weights = {r.e: float(r.w) for r in rows}
-    pairs = texts.mapInArrow(_pairs(set(weights)), "pair string, toxic int").groupBy("pair").agg(F.avg("toxic").alias("share"), F.count("*").alias("n"))
-    exceptions = [r.pair for r in pairs.where(f"n >= 5 and share <= {share / 2}").collect()]
-
-    raw = texts.mapInArrow(_weigher(weights, exceptions, keep=["toxic"]), "toxic int, weight double, hits long, words long").toPandas()
-    curve = _curve(inputs(raw.weight.to_numpy(), raw.hits.to_numpy(), raw.words.to_numpy()), raw.toxic.to_numpy(float))
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / expected), 0.0)
+
+    # likelihood ratio of the 2 x 2 table, for entries that speak for the label
+    share, n = n1 / (n1 + n0), t + c
+    rest = np.maximum(n1 + n0 - n, 1e-300)
+    g = 2 * (cell(t, n * share) + cell(c, np.maximum(n * (1 - share), 1e-300)) + cell(n1 - t, rest * share) + cell(n0 - c, rest * (1 - share)))
+    odds = np.log(((t + 0.5) / (n1 + 1)) / ((c + 0.5) / (n0 + 1)))
+    weights = {rows[k].e: float(odds[k]) for k in np.flatnonzero((odds > 2.5) & (g >= MIN_G)).tolist()}
+    pairs = texts.select("folded", "toxic").mapInArrow(_pairs(set(weights)), "pair string, toxic int").groupBy("pair").agg(F.avg("toxic").alias("share"), F.count("*").alias("n"))
+    support = max(5, math.ceil(PAIR_SHARE * sum(x for _, x in sizes.values())))
+    exceptions = sorted(r.pair for r in pairs.where(f"n >= {support} and share <= {share / 2}").collect())
+
+    raw = texts.select("folded", "toxic").mapInArrow(_weigher(weights, exceptions, keep=["toxic"], folded=True), "toxic int, weight double, hits long, words long")
+    raw = raw.withColumn("words", F.expr("if(hits = 0, 0, words)"))  # which a text without a match doesn't depend on
+    raw = checkpoint(raw.groupBy("toxic", "weight", "hits", "words").agg(F.count("*").alias("n")))
+    curve = _curve(few(raw, raw.count(), TASK_ROWS))
     return Model(weights, exceptions, [float(b) for b in curve])
 
 
-def _weigher(weights: dict[str, float], exceptions: list[str], keep: list[str], text: int = 0):
+def _weigher(weights: dict[str, float], exceptions: list[str], keep: list[str], text: int = 0, folded: bool = False):
     def run(batches):
         lexicon = Lexicon(weights, exceptions)
+        weigh = lexicon.weigh_folded if folded else lexicon.weigh
         for batch in batches:
-            out = [lexicon.weigh(batch.column(text)[k].as_py() or "") for k in range(batch.num_rows)]
+            out = [weigh(batch.column(text)[k].as_py() or "") for k in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in keep), *(pa.array([r[k] for r in out], t) for k, t in enumerate((pa.float64(), pa.int64(), pa.int64())))],
                 names=[*keep, "weight", "hits", "words"],

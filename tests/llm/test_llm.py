@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -200,6 +201,24 @@ def test_base_counts_and_bands(docs):
     assert (got[9].n_symbols, got[9].word_chars) == (0, 3500)
 
 
+def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
+    # more labelled documents than a sample of 12,000 holds; twice the same text and near copies count once
+    names = ["".join("abcdefghij"[int(d)] for d in f"{k:05d}") for k in range(14_000)]
+    rows = [(k, " ".join(f"{x}{a}" for x in "abcdefghijklmnopqrstuvwxyz") + " plain vilefoo"[: 14 if k % 35 == 0 else 6], int(k % 35 == 0)) for k, a in enumerate(names)]
+    long = " ".join(f"z{a}" for a in names[:400])
+    rows += [(20_000 + k, f"{long} vilefoo", 1) for k in range(30)] + [(20_100 + k, f"{long} plain", 0) for k in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    want = math.log((401.5 / 402) / (0.5 / 13_602))
+    for sent, flush in ((1_000_000, 200_000), (0, 50)):  # labels broadcast or joined, tasks that report once or often
+        monkeypatch.setattr(toxicity, "SENT", sent)
+        monkeypatch.setattr(toxicity, "FLUSH", flush)
+        model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+        assert set(model.weights) == {"vilefoo ", "vile", "vilef", "vilefo"} and model.exceptions == []
+        assert all(math.isclose(w, want, rel_tol=1e-12) for w in model.weights.values())
+        got = {r.doc_id: r.predicted for r in toxicity.score(frame.select("doc_id", "text"), model).collect()}
+        assert got == {k: toxic for k, _, toxic in rows}
+
+
 def test_toxicity(spark):
     rnd = random.Random(2)
     plain = ["".join(rnd.choices("abcdefghij", k=10)) for _ in range(5000)]
