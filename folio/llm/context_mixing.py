@@ -54,6 +54,7 @@ PASSES = 2
 ALL = 0.05  # prior of the expert that knows no language
 TASK_WORDS = 1_000_000  # distinct words that a task learns from, or more if there are fewer tasks than cores
 FLUSH = 400_000  # distinct words that a task counts before it reports
+FLUSH_BYTES = 1 << 25  # and their bytes
 END = b"\n"  # no word contains it
 CELLS = 33
 LN10 = float(np.log(10))
@@ -63,6 +64,11 @@ def _squash(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _paired(x: np.ndarray) -> np.ndarray:
+    """Pairs of inputs, in the last dimension, as numbers of 64 bits, which a lookup copies at once."""
+    return np.ascontiguousarray(x, np.float32).view(np.int64)[..., 0]
+
+
 def _spelling(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all words, each after a zero and closed by one, as one row a byte; lengths with the closing zero)."""
     data = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
@@ -118,7 +124,7 @@ class Speller:
     def __init__(self, counts: np.ndarray):
         self.counts = counts
         self.weights = np.full((64, 2 * PREDICTORS), 0.0)
-        self.weights[:, :PREDICTORS] = 0.4
+        self.weights[:, ::2] = 0.4
         self.refine = self.prior = np.tile(_squash((np.arange(CELLS) - CELLS // 2) / 2.0), (64, 1)).astype(np.float32)
         self._tables: np.ndarray | None = None
         self._without: np.ndarray | None = None
@@ -132,22 +138,24 @@ class Speller:
         return st, st * np.minimum(1, (n0 + n1) / (n0 + n1 + 8.0))
 
     def _left_out(self) -> np.ndarray:
-        """(predictor, slot * 2 + value, input): the inputs of a counted bit without itself."""
+        """(predictor, slot * 2 + value): the inputs of a counted bit without itself, each pair as one number."""
         if self._without is None:
             n0, n1 = self.counts[:, 0].astype(np.float32), self.counts[:, 1].astype(np.float32)
             zero = np.stack(self._inputs(np.maximum(n0 - 1, 0), n1), axis=-1)
             one = np.stack(self._inputs(n0, np.maximum(n1 - 1, 0)), axis=-1)
-            self._without = np.stack([zero, one], axis=2).reshape(PREDICTORS, -1, 2)
+            self._without = _paired(np.stack([zero, one], axis=2).reshape(PREDICTORS, -1, 2))
         return self._without
 
     def _learning(self, words: list[bytes]):
-        """(inputs, values, gates) of the bits of words that the tables have counted, each without itself."""
+        """(inputs, values, gates) of the bits of words that the tables have counted, each without itself, gate by gate."""
         bits, tables = Bits(words), self._left_out()
-        y, gate = bits.value.ravel(), bits.gate.ravel()
-        x = np.empty((len(y), 2 * PREDICTORS), np.float32)
+        gate = bits.gate.ravel()
+        by = np.argsort(gate.astype(np.uint8), kind="stable")
+        y = bits.value.ravel()[by]
+        x = np.empty((len(y), PREDICTORS), np.int64)
         for k, s in enumerate(bits.slots):
-            x[:, k : k + PREDICTORS + 1 : PREDICTORS] = tables[k][s.ravel() * 2 + y]
-        return x, y.astype(np.float32), gate
+            x[:, k] = tables[k][s.ravel()[by] * 2 + y]
+        return x.view(np.float32), y.astype(np.float32), gate[by]
 
     def learn(self, chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """One online pass over chunks of words: (curvature, weights, refining sums).
@@ -160,12 +168,9 @@ class Speller:
         sums = np.zeros((2, 64, CELLS))
         for words in chunks:
             x, y, gate = self._learning(words)
-            place = gate[::8] // 8
-            by = np.argsort(place, kind="stable")
-            x, y, ends = x.reshape(len(by), 8, -1)[by], y.reshape(len(by), 8)[by], np.searchsorted(place[by], np.arange(9))
+            ends = np.searchsorted(gate, np.arange(65))
             for g in range(64):
-                own = slice(ends[g // 8], ends[g // 8 + 1])
-                z, v = np.ascontiguousarray(x[own, g % 8]), y[own, g % 8]
+                z, v = x[ends[g] : ends[g + 1]], y[ends[g] : ends[g + 1]]
                 if not len(v):
                     continue
                 dot = z @ weights[g].astype(np.float32)
@@ -194,13 +199,14 @@ class Speller:
         """log10 s(w) of each word, with the frozen weights."""
         if self._tables is None:
             tables = [self._inputs(c[0].astype(np.float32), c[1].astype(np.float32)) for c in self.counts]
-            self._tables = np.stack([np.stack(t, axis=1) for t in tables]).astype(np.float32)
+            self._tables = _paired(np.stack([np.stack(t, axis=1) for t in tables]))
         bits = Bits(words)
         gate = bits.gate.ravel()
-        dot, weights = np.zeros(len(gate), np.float32), self.weights.astype(np.float32)
+        dot, weights = np.zeros(len(gate), np.float32), _paired(self.weights.reshape(64, PREDICTORS, 2))
         for k, s in enumerate(bits.slots):
-            x = self._tables[k][s.ravel()]
-            dot += x[:, 0] * weights[gate, k] + x[:, 1] * weights[gate, PREDICTORS + k]
+            x = self._tables[k][s.ravel()].view(np.float32)
+            x *= np.ascontiguousarray(weights[:, k])[gate].view(np.float32)
+            dot += x[::2] + x[1::2]
         low, part = self._cell(dot)
         p = 0.5 * _squash(dot) + 0.5 * ((1 - part) * self.refine[gate, low] + part * self.refine[gate, low + 1])
         p = np.clip(p, 1e-6, 1 - 1e-6).reshape(bits.value.shape)
@@ -208,19 +214,27 @@ class Speller:
         return np.bincount(bits.word, chosen, minlength=len(words)) / LN10
 
 
-def _lowered(w: Words, i: int) -> bytes:
-    return w.word(i).lower()
+def _runs(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of runs, one after the other."""
+    return data[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
 
 def _count_words(batches):
     """(text, expert; -1 for a text that isn't learned from) -> (h, word, e, c): distinct words of a run of texts with their counts."""
-    seen: dict[int, list] = {}
+    held: list[tuple] = []  # of a slice: its words' hashes, experts, counts, lengths and bytes
+    room = [FLUSH, FLUSH_BYTES]
+
+    def merge():
+        h, e, c, size, text = (np.concatenate([own[k] for own in held]) for k in range(5))
+        _, first, back = np.unique(mix64(h + (e + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True)
+        start = np.cumsum(size) - size
+        held[:] = [(h[first], e[first], np.bincount(back, c, len(first)).astype(np.int64), size[first], _runs(text, start[first], size[first]))]
+        return len(first) >= FLUSH or len(held[0][4]) >= FLUSH_BYTES
 
     def report():
-        rows = list(seen.values())
-        out = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.int32(), pa.int64()))], names=["h", "word", "e", "c"])
-        seen.clear()
-        return out
+        h, e, c, size, text = held.pop()
+        word = pa.Array.from_buffers(pa.binary(), len(h), [None, pa.py_buffer(np.append(0, np.cumsum(size)).astype(np.int32)), pa.py_buffer(text)])
+        return pa.RecordBatch.from_arrays([pa.array(signed(h)), word, pa.array(e, pa.int32()), pa.array(c)], names=["h", "word", "e", "c"])
 
     for batch in batches:
         expert = batch.column(1).to_numpy(zero_copy_only=False)
@@ -228,16 +242,16 @@ def _count_words(batches):
             w = Words(data, offsets)
             h = w.hashes(lower=True)
             e = np.repeat(expert[i:j], np.diff(w.at))
-            keys, first, counts = np.unique(mix64(h + (e + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_counts=True)
-            own, whose = signed(h[first]).tolist(), e[first].tolist()
-            for k, f, x, y, c in zip(keys.tolist(), first.tolist(), own, whose, counts.tolist()):
-                if k in seen:
-                    seen[k][3] += c
-                else:
-                    seen[k] = [x, _lowered(w, f), y, c]
-            if len(seen) >= FLUSH:
-                yield report()
-    if seen:
+            _, first, counts = np.unique(mix64(h + (e + 2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_counts=True)
+            size = (w.end - w.start)[first]
+            held.append((h[first], e[first], counts, size, _runs(np.frombuffer(data.tobytes().lower(), np.uint8), w.start[first], size)))
+            if sum(len(own[0]) for own in held) >= room[0] or sum(len(own[4]) for own in held) >= room[1]:
+                if merge():
+                    yield report()
+                # half as much again, or words that come in every slice would be merged over and over
+                room = [max(FLUSH, len(held[0][0]) + FLUSH // 2), max(FLUSH_BYTES, len(held[0][4]) + FLUSH_BYTES // 2)] if held else [FLUSH, FLUSH_BYTES]
+    if held:
+        merge()
         yield report()
 
 

@@ -118,20 +118,26 @@ class Mixer:
         curve = np.tile(RIDGE * np.eye(INPUTS), (GATES, 1, 1))
         sums = np.zeros((2, GATES, CELLS))
         seen = 0
+        # a pair of inputs is looked up as one number of 64 bits
+        tables, buckets = [x.view(np.int64).ravel() for x in self.left_out], self._bucket(self.met - 1).astype(np.int8)
         for t in slices_:
             for d in range(DEPTH):
                 node, value = t.bit(d)
-                x = np.concatenate([table[(r + node) * 2 + value] for table, r in zip(self.left_out, t.rows)], axis=1)
-                bucket = self._bucket(self.met[t.rows[1] + node] - 1)
+                at = [r + node for r in t.rows]
+                bucket = buckets[at[1]]
                 for k in range(BUCKETS):
-                    own = bucket == k
-                    if not own.any():
+                    own = np.flatnonzero(bucket == k)
+                    if not len(own):
                         continue
-                    g, z, v = d * BUCKETS + k, x[own], value[own].astype(np.float32)
+                    bit = value[own]
+                    x = np.empty((len(own), CONTEXTS), np.int64)
+                    for c, table in enumerate(tables):
+                        x[:, c] = table[at[c][own] * 2 + bit]
+                    g, z, v = d * BUCKETS + k, x.view(np.float32), bit.astype(np.float32)
                     dot = z @ weights[g].astype(np.float32)
                     q = _squash(dot)
                     cell = np.rint(np.clip(dot * 2 + CELLS // 2, 0, CELLS - 1)).astype(np.int32)
-                    by_value = np.bincount(cell * 2 + value[own], minlength=2 * CELLS).reshape(CELLS, 2)
+                    by_value = np.bincount(cell * 2 + bit, minlength=2 * CELLS).reshape(CELLS, 2)
                     sums[0, g] += by_value[:, 1]
                     sums[1, g] += by_value.sum(1)
                     curve[g] += (z * (q * (1 - q))[:, None]).T @ z

@@ -6,6 +6,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from folio.llm import context_mixing, word_contexts
@@ -114,3 +115,19 @@ def test_texts_are_scored_once(spark):
     docs = spark.createDataFrame([(k, f"the cat {k} sat", "en") for k in range(20)], "doc_id long, text string, lang string")
     got = context_mixing.lm_scores(docs, F.col("doc_id") < 10)
     assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_words_are_counted_exactly_however_often_a_task_reports(monkeypatch):
+    texts = [f"The word{k % 9} Ünder x{k} the WORD{k % 4}" for k in range(300)] + [None, "", "y" * 500]
+    experts = [k % 3 - 1 for k in range(len(texts))]
+    want = Counter((w, e) for t, e in zip(texts, experts) for w in (t or "").encode().lower().split())
+    batches = [pa.record_batch([pa.array(texts[i : i + 40]), pa.array(experts[i : i + 40], pa.int32())], names=["text", "e"]) for i in range(0, len(texts), 40)]
+    for flush, room in ((400_000, 1 << 25), (30, 1 << 25), (400_000, 200)):
+        monkeypatch.setattr(context_mixing, "FLUSH", flush)
+        monkeypatch.setattr(context_mixing, "FLUSH_BYTES", room)
+        got, hashes = Counter(), {}
+        for out in context_mixing._count_words(batches):
+            for h, w, e, c in zip(*(x.to_pylist() for x in out.columns)):
+                got[w, e] += c
+                assert hashes.setdefault(w, h) == h
+        assert got == want
