@@ -169,8 +169,8 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first, last, bytes, offsets) for runs of texts of about SLICE_BYTES; a null text has no bytes."""
+def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first, last, bytes, offsets) for runs of texts of about ``most`` bytes; a null text has no bytes."""
     if pa.types.is_large_string(column.type):
         kind = np.int64
     else:
@@ -183,7 +183,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     data = np.frombuffer(body, dtype=np.uint8) if body is not None else np.zeros(0, dtype=np.uint8)
     i = 0
     while i < n:
-        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, side="right")) - 1))
+        j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, side="right")) - 1))
         yield i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
 
