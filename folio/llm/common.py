@@ -10,7 +10,10 @@ compares the bytes before use (``same_runs``).
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 21  # text worked on at a time
+MAPPED_BYTES = 1 << 24  # an array of this size gets memory of its own from the system
 LONG_RUN = 64  # bytes; longer runs are hashed and compared one by one
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -42,6 +46,35 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int):
+    """Within, actions hand Python that many rows at a time at most: a batch of whole texts is held by the JVM and by the worker, twice over while it grows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(most, int(before)) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def tidy(kernel):
+    """``kernel(batches)``, with large arrays mapped apart, and with all that is free given back at its end: a worker lives on, through stages without Python too."""
+
+    @functools.wraps(kernel)
+    def run(batches):
+        libc = ctypes.CDLL(None)
+        with suppress(AttributeError):  # another C library than glibc
+            libc.mallopt(-3, MAPPED_BYTES)  # M_MMAP_THRESHOLD, which would else rise to the largest array ever freed
+            libc.mallopt(-1, 2 * MAPPED_BYTES)  # M_TRIM_THRESHOLD, which would else be 128 KB from now on
+        yield from kernel(batches)
+        pa.default_memory_pool().release_unused()
+        with suppress(AttributeError):
+            libc.malloc_trim(0)
+
+    return run
+
+
 def hot_join(big: DataFrame, small: DataFrame, keys: list[str], count: str, by: str, how: str = "inner") -> DataFrame:
     """``big`` joined with ``small`` (one row for each key, ``count`` its rows in ``big``) without one task for a hot key.
 

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import word_contexts
-from folio.llm.common import Words, checkpoint, few, heaviest, mix64, signed, slices, table
+from folio.llm.common import Words, arrow_rows, checkpoint, few, heaviest, mix64, signed, slices, table, tidy
 
 ORDERS = (1, 2, 3, 4)
 BITS = 17  # log2 of a table's slots
@@ -55,6 +55,7 @@ ALL = 0.05  # prior of the expert that knows no language
 TASK_WORDS = 1_000_000  # distinct words that a task learns from, or more if there are fewer tasks than cores
 FLUSH = 400_000  # distinct words that a task counts before it reports
 FLUSH_BYTES = 1 << 25  # and their bytes
+RUN_BYTES = 1 << 20  # bytes that are copied out of texts at a time
 END = b"\n"  # no word contains it
 CELLS = 33
 LN10 = float(np.log(10))
@@ -215,8 +216,19 @@ class Speller:
 
 
 def _runs(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The bytes of runs, one after the other."""
-    return data[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+    """The bytes of runs, one after the other; every byte takes 24 more while its place is looked up, so ``RUN_BYTES`` of them at a time."""
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    i = 0
+    while i < len(size):
+        done = int(ends[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, done + RUN_BYTES, side="right")))
+        if j == i + 1:
+            out[done : ends[i]] = data[start[i] : start[i] + size[i]]
+        else:
+            out[done : ends[j - 1]] = data[np.repeat(start[i:j] - (ends[i:j] - size[i:j]), size[i:j]) + np.arange(done, int(ends[j - 1]))]
+        i = j
+    return out
 
 
 def _count_words(batches):
@@ -238,7 +250,7 @@ def _count_words(batches):
 
     for batch in batches:
         expert = batch.column(1).to_numpy(zero_copy_only=False)
-        for i, j, data, offsets in slices(batch.column(0)):
+        for i, j, data, offsets in slices(batch.column(0), word_contexts.TEXT_BYTES):
             w = Words(data, offsets)
             h = w.hashes(lower=True)
             e = np.repeat(expert[i:j], np.diff(w.at))
@@ -291,7 +303,7 @@ def _learn(words: DataFrame, speller: Speller) -> None:
     sizes = [64 * k * k, 64 * k, 2 * 64 * CELLS]
     for _ in range(PASSES):  # the second one starts from the merged weights, so that its refining table fits what is scored with
         model = words.sparkSession.sparkContext.broadcast(speller)
-        got = words.mapInArrow(_learned(model), "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
+        got = words.mapInArrow(tidy(_learned(model)), "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
         model.unpersist()
         if not len(got):
             return
@@ -330,7 +342,7 @@ def _word_scores(speller, counts: Counts):
         model = speller.value
         for batch in batches:
             words, c = batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
-            spelt = np.concatenate([model.log10(words[i : i + 8192]) for i in range(0, len(words), 8192)]) if words else np.zeros(0)
+            spelt = np.concatenate([model.log10(words[i : i + 2048]) for i in range(0, len(words), 2048)]) if words else np.zeros(0)
             own = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(words), -1).T
             p = counts.log10(c, own, spelt)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(x) for x in p)], names=["h", "c", *(f"p{k}" for k in range(len(p)))])
@@ -349,7 +361,7 @@ def _texts(head, end: tuple[float, np.ndarray, int], contexts):
         keys, base, model, known = head.value
         mixer, in_class = contexts.value  # and each expert's log10 P(class)
         for batch in batches:
-            for i, j, data, offsets in slices(batch.column(1)):
+            for i, j, data, offsets in slices(batch.column(1), word_contexts.TEXT_BYTES):
                 w = Words(data, offsets)
                 h = w.hashes(lower=True)
                 tokens = word_contexts.Tokens(w, h)
@@ -413,12 +425,13 @@ def lm_scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "
     for k, r in enumerate(top):
         expert = expert.when(F.col("of") == r.of, k)
     k_all = range(len(own_ends))
-    vocabulary = checkpoint(
-        texts.select("text", expert.otherwise(len(own_ends)).alias("e"))
-        .mapInArrow(_count_words, "h long, word binary, e int, c long")
-        .groupBy("h", "word")
-        .agg(F.sum(F.expr("if(e < 0, 0, c)")).alias("c"), F.array(*(F.sum(F.expr(f"if(e = {k}, c, 0)")) for k in k_all)).alias("own"))
-    )
+    with arrow_rows(spark, word_contexts.TEXT_ROWS):
+        vocabulary = checkpoint(
+            texts.select("text", expert.otherwise(len(own_ends)).alias("e"))
+            .mapInArrow(tidy(_count_words), "h long, word binary, e int, c long")
+            .groupBy("h", "word")
+            .agg(F.sum(F.expr("if(e < 0, 0, c)")).alias("c"), F.array(*(F.sum(F.expr(f"if(e = {k}, c, 0)")) for k in k_all)).alias("own"))
+        )
     met = vocabulary.where("c > 0")
     total = met.agg(
         *(F.coalesce(F.sum(x), F.lit(0)) for x in ("c", "1", "if(c = 1, 1, 0)", "if(c = 2, 1, 0)") for x in [F.expr(x)]),
@@ -430,7 +443,7 @@ def lm_scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "
 
     slots = PREDICTORS << BITS
     learned_from = few(met.select("word"), total[1], TASK_WORDS)
-    got = learned_from.mapInArrow(_bit_counts, "slot int, zeros long, ones long").groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toArrow()
+    got = learned_from.mapInArrow(tidy(_bit_counts), "slot int, zeros long, ones long").groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toArrow()
     bits = np.zeros((2, slots), np.int64)
     where = got.column("slot").to_numpy()
     bits[0, where], bits[1, where] = got.column("zeros").to_numpy(), got.column("ones").to_numpy()
@@ -439,7 +452,7 @@ def lm_scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "
     spelt = spark.sparkContext.broadcast(speller)
 
     p_names = [f"p{k}" for k in range(len(own_ends) + 1)]
-    scored = checkpoint(vocabulary.mapInArrow(_word_scores(spelt, counts), ", ".join(["h long, c long", *(f"{p} double" for p in p_names)])))
+    scored = checkpoint(vocabulary.mapInArrow(tidy(_word_scores(spelt, counts)), ", ".join(["h long, c long", *(f"{p} double" for p in p_names)])))
     head = heaviest(scored.where("c > 0"), "c", HEAD).toArrow()
     by = np.argsort(head.column("h").to_numpy())
     c = head.column("c").to_numpy()[by]
@@ -459,7 +472,7 @@ def lm_scores(docs: DataFrame, trains, id_col: str = "doc_id", text_col: str = "
 
     m_names = [f"m{k}" for k in range(len(p_names))]
     rows = texts.select("id", "text").mapInArrow(
-        _texts(known, end, contexts), f"id struct<id:{kind},t:bigint>, h long, n long, bytes long, known long, base double, " + ", ".join(f"{m} double" for m in m_names)
+        tidy(_texts(known, end, contexts)), f"id struct<id:{kind},t:bigint>, h long, n long, bytes long, known long, base double, " + ", ".join(f"{m} double" for m in m_names)
     )
     weight = float(np.log10(n + 0.1 * (v + 1)))
     # texts' own rows go through the join without a partner, under keys of their own that spread them: so the texts are scored once, not for each side of a union

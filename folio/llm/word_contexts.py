@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import Words, few, mix64, slices
+from folio.llm.common import Words, arrow_rows, few, mix64, slices, tidy
 
 DEPTH = 6
 CLASSES = 1 << DEPTH
@@ -32,6 +32,9 @@ INPUTS = 2 * CONTEXTS
 CELLS = 33
 RIDGE = 50.0
 TASK_TOKENS = 50_000_000
+TEXT_BYTES = 1 << 19  # text worked on at a time; some 300 bytes of arrays go with a token
+TEXT_ROWS = 500  # texts in an Arrow batch, where an action runs here
+HELD_TOKENS = 400_000  # tokens that a task counts at a time, as the tables are long
 LN10 = float(np.log(10))
 _START, _END = np.uint64(0x5D1F8C2B9A3E4706), np.uint64(0xB3C64E0F9D2A1785)
 
@@ -69,9 +72,12 @@ class Tokens:
         return (1 << depth) | (self.of >> (DEPTH - depth)), self.of >> (DEPTH - 1 - depth) & 1
 
 
-def count_classes(t: Tokens) -> np.ndarray:
+def count_classes(*tokens: Tokens) -> np.ndarray:
     """Counts of all predictors' (context, class), one table after the other."""
-    return np.concatenate([np.bincount(r + t.of, minlength=size) for r, size in zip(t.rows, SIZES)])
+    out = np.zeros(sum(SIZES), np.int64)
+    for k, own in enumerate(np.split(out, np.cumsum(SIZES)[:-1])):
+        own += np.bincount(np.concatenate([t.rows[k] + t.of for t in tokens]), minlength=SIZES[k])
+    return out
 
 
 def node_counts(classes: np.ndarray) -> np.ndarray:
@@ -186,7 +192,7 @@ class Mixer:
 
 def _tokens(batches):
     for batch in batches:
-        for _, _, data, offsets in slices(batch.column(0)):
+        for _, _, data, offsets in slices(batch.column(0), TEXT_BYTES):
             w = Words(data, offsets)
             yield Tokens(w, w.hashes(lower=True))
 
@@ -194,8 +200,15 @@ def _tokens(batches):
 def _counted(batches):
     """(text) -> (at, n): a task's sums."""
     flat = np.zeros(sum(SIZES), np.int64)
+    held, n = [], 0
     for t in _tokens(batches):
-        flat += count_classes(t)
+        held.append(t)
+        n += len(t.of)
+        if n >= HELD_TOKENS:
+            flat += count_classes(*held)
+            held, n = [], 0
+    if held:
+        flat += count_classes(*held)
     used = np.flatnonzero(flat)
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(flat[used])], names=["at", "n"])
 
@@ -217,12 +230,14 @@ def train(texts: DataFrame, tokens: int) -> Mixer:
     """
     spark = texts.sparkSession
     texts = few(texts, tokens, TASK_TOKENS)
-    got = texts.mapInArrow(_counted, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    with arrow_rows(spark, TEXT_ROWS):
+        got = texts.mapInArrow(tidy(_counted), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(sum(SIZES), np.int64)
     counts[got.column("at").to_numpy()] = got.column("n").to_numpy()
     mixer = Mixer(counts)
     sent = spark.sparkContext.broadcast(mixer)
-    got = texts.mapInArrow(_learned(sent), "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
+    with arrow_rows(spark, TEXT_ROWS):
+        got = texts.mapInArrow(tidy(_learned(sent)), "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
     sizes = [GATES * INPUTS * INPUTS, GATES * INPUTS, 2 * GATES * CELLS]
     flat = np.zeros(sum(sizes))
     flat[got.column("at").to_numpy()] = got.column("x").to_numpy()
@@ -230,4 +245,5 @@ def train(texts: DataFrame, tokens: int) -> Mixer:
         a, b, c = np.split(flat, np.cumsum(sizes)[:-1])
         mixer.set(a.reshape(GATES, INPUTS, INPUTS), b.reshape(GATES, INPUTS), c.reshape(2, GATES, CELLS))
     sent.unpersist()
+    mixer.left_out = []  # scoring looks at none of them
     return mixer

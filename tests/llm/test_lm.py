@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from folio.llm import context_mixing, word_contexts
-from folio.llm.common import Words
+from folio.llm.common import Words, arrow_rows
 
 
 def test_base_score_counts_and_gain(spark):
@@ -131,3 +132,44 @@ def test_words_are_counted_exactly_however_often_a_task_reports(monkeypatch):
                 got[w, e] += c
                 assert hashes.setdefault(w, h) == h
         assert got == want
+
+
+def test_copying_runs_takes_little_memory_beside_them(monkeypatch):
+    size = np.array([7] * 600_000 + [3_000_000] + [0, 1, 9])
+    data = np.random.default_rng(1).integers(0, 256, 9_000_000).astype(np.uint8)
+    start = np.random.default_rng(2).integers(0, 6_000_000 - 10, len(size))
+    tracemalloc.start()
+    got = context_mixing._runs(data, start, size)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80_000_000  # 24 bytes for each copied one before: 173 MB
+    assert got.tobytes() == b"".join(data[a : a + n].tobytes() for a, n in zip(start, size))
+    monkeypatch.setattr(context_mixing, "RUN_BYTES", 5)
+    few = [np.array(x, np.int64) for x in ([4, 0, 9, 9], [3, 0, 20, 2])]
+    assert context_mixing._runs(data, *few).tobytes() == b"".join(data[a : a + n].tobytes() for a, n in zip(*few))
+    assert not len(context_mixing._runs(data, np.zeros(0, np.int64), np.zeros(0, np.int64)))
+
+
+def test_learning_gets_few_texts_at_a_time(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), []
+    monkeypatch.setattr(word_contexts, "tidy", lambda kernel: seen.append(int(spark.conf.get(key))) or kernel)
+    texts = spark.createDataFrame([(f"the cat {k} sat",) for k in range(1200)], "text string").coalesce(1)
+    word_contexts.train(texts, 6000)
+    assert seen == [word_contexts.TEXT_ROWS] * 2 and spark.conf.get(key) == before
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows])], names=["n"])
+
+    with arrow_rows(spark, 500):
+        assert sorted(r.n for r in texts.mapInArrow(rows, "n long").collect()) == [200, 500, 500]
+
+
+def test_counting_slices_together_is_counting_each():
+    def tokens(text):
+        w = Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        return word_contexts.Tokens(w, w.hashes(lower=True))
+
+    a, b = tokens(b"the cat sat on the mat"), tokens(b"a dog sat")
+    assert (word_contexts.count_classes(a, b) == word_contexts.count_classes(a) + word_contexts.count_classes(b)).all()
