@@ -54,6 +54,7 @@ HEAVY = 200_000  # most shingles that get a weight
 CHUNK = 2_000_000  # shingles counted at a time in a task
 MORE = 50  # one more prefix shingle for each so many in the set
 GROUP = 500  # texts verified together
+PAIRED = 100  # most sets of a pivot whose pairs are looked at before texts travel
 FILTER_BITS = 1 << 23  # of the map of documents that take part in a verification
 LOCAL = 4  # times that a chunk must hold a shingle to report it
 
@@ -232,6 +233,29 @@ def _verify(n: int, percent: int):
     return run
 
 
+def _once(meets: DataFrame, percent: int) -> DataFrame:
+    """(piv, id) of ``meets(piv, id, n, c)``, ``c`` lists in common with the pivot: what it takes for each pair that may qualify to meet once at least.
+
+    Long texts meet by chance, and near copies under several pivots, but a text travels to all of its pivots. Within pivots of up to ``PAIRED`` sets (so the
+    pairs grow with the rows) two sets share at most the smaller ``c`` of lists for each common pivot. Pairs that qualify share 1 + min(n, m) div MORE, so pairs
+    that can reach it are kept at their smallest common pivot of these. All stay in larger groups, so a pair that meets in one of them still meets there.
+    """
+    sizes = meets.groupBy("piv").agg(F.count("*").alias("members")).where("members > 1")
+    each = checkpoint(meets.join(sizes, "piv"))
+    small = each.where(f"members <= {PAIRED}")
+    one = small.select("piv", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
+    two = small.select("piv", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+    pairs = (
+        one.join(two, "piv")
+        .where(f"a < b and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+        .groupBy("a", "b", "na", "nb")
+        .agg(F.min("piv").alias("piv"), F.sum(F.least("ca", "cb")).alias("shared"))
+        .where(f"shared >= 1 + least(na, nb) div {MORE}")
+    )
+    kept = pairs.select("piv", F.explode(F.array("a", "b")).alias("id"))
+    return kept.union(each.where(f"members > {PAIRED}").select("piv", "id")).distinct()
+
+
 def _links(texts: DataFrame, meets: DataFrame, weights: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b): links among the sets that ``meets(piv, id)`` brings together, enough to connect all that qualify; (a, no b, links): counts by ``weights(id, w)``."""
     k = meets.groupBy("piv").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("k"))
@@ -290,10 +314,9 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .withColumn("all", F.sum("c").over(W.partitionBy("id")))
         .where(f"all >= {least}")
     )
-    meets = checkpoint(met.select("piv", "id"))
-    alone = meets.groupBy("piv").agg(F.count("*").alias("c")).where("c > 1").select("piv")
+    meets = checkpoint(_once(checkpoint(met.select("piv", "id", "n", "c")), percent))
     weights = classes.select(F.col("rep").alias("id"), "w")
-    links = checkpoint(_links(texts, checkpoint(meets.join(alone, "piv")), weights, n, percent))
+    links = checkpoint(_links(texts, meets, weights, n, percent))
     found = connected_components(links.where("b is not null").select("a", "b")).withColumnRenamed("id", "rep")
     counts = links.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     info = checkpoint(found.join(counts, "rep", "full"))

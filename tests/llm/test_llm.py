@@ -104,6 +104,30 @@ def test_ngram_join_counts_all_links(spark, monkeypatch, group):
     assert max(want.values()) > 2 and len(got) == len(rows) and {r.doc_id: r.n_links for r in got} == want
 
 
+@pytest.mark.parametrize("paired", [100, 5, 0])
+def test_ngram_join_sends_a_text_to_few_pivots_and_loses_no_link(spark, monkeypatch, paired):
+    monkeypatch.setattr(ngram_join, "PAIRED", paired)
+    links, seen = ngram_join._links, []
+    monkeypatch.setattr(ngram_join, "_links", lambda texts, meets, *rest: seen.extend(meets.collect()) or links(texts, meets, *rest))
+    rows = []
+    for c in range(4):  # near copies whose rare words differ, and texts that share a few shingles with all of them
+        base = [f"c{c}w{k}" for k in range(120)]
+        rows += [(10 * c + d, " ".join(base[: 9 * d] + [f"x{c}y{d}"] + base[9 * d + 1 :])) for d in range(8)]
+        rows += [(10 * c + 9, " ".join([f"z{c}q{k}" for k in range(100)] + base[30:50]))]
+    sets = {d: {tuple(t.split()[k : k + 2]) for k in range(len(t.split()) - 1)} for d, t in rows}
+    want = {a: sum(a != b and 100 * len(x & y) >= 90 * len(x | y) for b, y in sets.items()) for a, x in sets.items()}
+    got = ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, SCHEMA), n=2, percent=90).collect()
+    assert sum(want.values()) > 100 and {r.doc_id: r.n_links for r in got} == want
+    assert paired < 100 or len(seen) == 32  # 32 near copies, each at one pivot
+
+
+def test_ngram_join_keeps_each_pair_once(spark):
+    meets = [(1, 1, 100, 5), (1, 5, 100, 5), (1, 6, 100, 2), (5, 5, 100, 9), (5, 6, 100, 9), (6, 6, 100, 4), (2, 2, 100, 9), (2, 7, 300, 9), (3, 3, 100, 2), (3, 8, 100, 2)]
+    got = ngram_join._once(spark.createDataFrame(meets, "piv long, id long, n int, c long"), 85)
+    # 5 and 6 share at most two lists with pivot 1 and nine with pivot 5, so they meet at 1; 2 and 7 differ in size, 3 and 8 share too little
+    assert {tuple(r) for r in got.collect()} == {(1, 1), (1, 5), (1, 6)}
+
+
 def test_substring_dedup(docs):
     seen, want = set(), {}
     for i, t in sorted({(r.doc_id, r.text) for r in docs.collect()}, key=lambda r: r[0]):
