@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from collections import Counter
+from functools import reduce
+from itertools import repeat
+from operator import or_
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -40,11 +45,25 @@ def jaro_bonus(a: str, b: str, weight: float = 0.1) -> float:
     return base + sum(x == y for x, y in zip(a[:4], b[:4])) * weight * (1 - base)
 
 
-def jaro_column(a: str, b: str):
-    def score(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([jaro_bonus(u, v) for u, v in zip(x, y)], dtype="float64")
-
-    return F.pandas_udf(score, "double")(a, b)
+def jaro_bonus_rows(a: np.ndarray, b: np.ndarray, weight: float = 0.1) -> np.ndarray:
+    """``jaro_bonus`` of each row of ``a`` with the same row of ``b``: a name's code points in a row, all rows of a matrix of one length."""
+    (n, la), lb = a.shape, b.shape[1]
+    reach = max(la, lb) // 2 - 1
+    rows, free, mine = np.arange(n), np.ones(b.shape, bool), np.zeros(a.shape, bool)
+    for i in range(la):
+        low, high = max(0, i - reach), min(lb, i + reach + 1)
+        if low < high:
+            equal = (b[:, low:high] == a[:, i : i + 1]) & free[:, low:high]
+            j = equal.argmax(1)
+            mine[:, i] = hit = equal[rows, j]
+            free[rows[hit], low + j[hit]] = False
+    m, k = mine.sum(1), min(la, lb)
+    x = np.take_along_axis(a, np.argsort(~mine, axis=1, kind="stable")[:, :k], 1)
+    y = np.take_along_axis(b, np.argsort(free, axis=1, kind="stable")[:, :k], 1)
+    moved = ((x != y) & (np.arange(k) < m[:, None])).sum(1) / 2
+    base = np.where(m > 0, (m / la + m / lb + (m - moved) / np.maximum(m, 1)) / 3, 0.0)
+    base[(x == y).all(1) & (m == la) & (la == lb)] = 1.0
+    return base + (a[:, : min(4, k)] == b[:, : min(4, k)]).sum(1) * weight * (1 - base)
 
 
 def _shared_least(la: int, lb: int, base: float) -> int:
@@ -52,71 +71,146 @@ def _shared_least(la: int, lb: int, base: float) -> int:
     return max(1, math.ceil((3 * base - 1) * la * lb / (la + lb) - 1e-9))
 
 
-def _marks(name: str, rank: dict[str, int]) -> list[str]:
-    """A name's characters, numbered when they repeat, in one order for all names: later repeats and rare ones first."""
-    met: dict[str, int] = {}
-    marks = []
-    for c in name:
-        met[c] = met.get(c, 0) + 1
-        marks.append((-met[c], rank.get(c, 0), c))
-    return [f"{c}{-n}" for n, _, c in sorted(marks)]
-
-
 def _base(least: float, same: int) -> float:
     """The ``jaro`` that ``least`` takes when ``same`` of the first four characters are equal."""
     return (least - 0.1 * same) / (1 - 0.1 * same)
 
 
-def _block_keys(name: str, marks: list[str], least: float, reach: int, together: int = 4) -> list[str]:
-    """Keys of which two names alike by ``least`` share one.
+def _masks(names: list[str]) -> np.ndarray:
+    """64 bits a name: one for each of its characters, numbered when they repeat. The 48 most frequent of these have bits of their own.
+
+    Two names' masks differ in no more bits than the names have characters that the other lacks.
+    """
+    marks = []
+    for name in names:
+        met: dict[str, int] = {}
+        for c in name:
+            met[c] = met.get(c, 0) + 1
+        marks.append([(c, k) for c, n in met.items() for k in range(1, n + 1)])
+    order = Counter(mark for own in marks for mark in own).most_common()
+    bit = {mark: 1 << (k if k < 48 else 48 + k % 16) for k, (mark, _) in enumerate(order)}
+    return np.array([reduce(or_, (bit[mark] for mark in own), 0) for own in marks], np.uint64)
+
+
+PAIRS_AT_ONCE = 1 << 17
+LONGEST_IN_ROWS = 64  # longer names are few, and scored one by one
+
+
+def _alike(names: list[str], side: np.ndarray, group: np.ndarray | None, least: float, reach: int):
+    """Yields (a, b, score) arrays of places in the sorted ``names``: pairs alike by ``jaro_bonus``, of two sides unless there is one only.
 
-    Names with three or four equal characters among the first four share these characters but one. Other names need ``m`` shared marks and so share
-    ``together`` within their first ``length - m + together``: the combinations of these, one set for each partner's length, are their keys.
+    Every pair's masks are compared, and for what that leaves the first four characters; only pairs that can still reach ``least`` are scored.
     """
-    head = name[:4].ljust(4, "\0")
-    keys = [head[:k] + "\n" + head[k + 1 :] for k in range(4)]
-    for other in range(max(1, len(name) - reach), len(name) + reach + 1):
-        needed = _shared_least(len(name), other, _base(least, 2))
-        if needed <= min(len(name), other):
-            k = min(together, needed)
-            lengths = f"{min(len(name), other)} {max(len(name), other)} "
-            keys += [lengths + "".join(some) for some in combinations(marks[: len(name) - needed + k], k)]
-    return keys
-
-
-def similar_pairs(names: DataFrame, least: float = 0.92, reach: int = 3, groups: DataFrame | None = None) -> DataFrame:
+    length, mask = np.array([len(x) for x in names]), _masks(names)
+    head = np.array([[ord(c) for c in x[:4].ljust(4, "\0")] for x in names], np.uint32).reshape(-1, 4)
+    of = {l: np.flatnonzero(length == l) for l in np.unique(length).tolist()}
+    spelt = {l: np.array([[ord(c) for c in names[k]] for k in at], np.uint32) for l, at in of.items() if l <= LONGEST_IN_ROWS}
+    place = np.zeros(len(names), np.int64)
+    for at in of.values():
+        place[at] = np.arange(len(at))
+    two = side.any() and not side.all()
+
+    def scored(a: np.ndarray, b: np.ndarray, differ: np.ndarray, la: int, lb: int):
+        """Pairs of names of ``la`` and ``lb`` characters whose masks differ by so many bits."""
+        same = (head[a] == head[b])[:, : min(4, la, lb)].sum(1)
+        some = differ <= np.array([la + lb - 2 * _shared_least(la, lb, _base(least, s)) for s in range(5)])[same]
+        if group is not None:
+            some &= group[a] != group[b]
+        low, high = a[some], b[some]
+        out = []
+        for turned in (False, True):  # the score may depend on the order: the first name by its characters comes first
+            x, y = (high, low) if turned else (low, high)
+            x, y = x[now := x < y], y[now]
+            if max(la, lb) <= LONGEST_IN_ROWS:
+                u, v = (spelt[lb], spelt[la]) if turned else (spelt[la], spelt[lb])
+                score = jaro_bonus_rows(u[place[x]], v[place[y]])
+            else:
+                score = np.array([jaro_bonus(names[i], names[j]) for i, j in zip(x, y)], np.float64)
+            out.append((x[good := score >= least], y[good], score[good]))
+        return tuple(map(np.concatenate, zip(*out)))
+
+    for la, left in of.items():
+        for lb in range(la - reach if two else la, la + reach + 1):
+            most = lb in of and min(la, lb) >= _shared_least(la, lb, _base(least, 4)) and la + lb - 2 * _shared_least(la, lb, _base(least, 4))
+            if most is False:
+                continue
+            first, second = (left[side[left] == 0], of[lb][side[of[lb]] == 1]) if two else (left, of[lb])
+            masks, found, n = mask[second], [], 0
+            for k, i in enumerate(first):
+                start = k + 1 if la == lb and not two else 0
+                differ = np.bitwise_count(masks[start:] ^ mask[i])
+                (at,) = (differ <= most).nonzero()
+                if len(at):
+                    found.append((i, at + start, differ[at]))
+                    n += len(at)
+                if n >= PAIRS_AT_ONCE or k == len(first) - 1 and found:
+                    i, at, differ = zip(*found)
+                    yield scored(np.repeat(i, [*map(len, at)]), second[np.concatenate(at)], np.concatenate(differ), la, lb)
+                    found, n = [], 0
+
+
+BLOCK_NAMES = 25_000  # names of a block; two blocks meet in one group
+
+
+def similar_pairs(names: DataFrame, least: float = 0.92, reach: int = 3, groups: DataFrame | None = None, stars: bool = False) -> DataFrame:
     """(a, b, score): all pairs of names alike by ``jaro_bonus`` whose lengths differ by at most ``reach``; empty and null names have none.
 
-    Blocked without loss (see ``_block_keys``); a pair's shared characters are counted in the JVM, and only pairs that can still reach ``least``
-    are scored. With ``groups(name, group)`` only pairs of different groups are looked at; as one of the two is outside the largest group, the names
-    of that group meet the others and not each other. What comes to the driver is one row a character in use, and the largest group's name.
+    Names are dealt over blocks, every two blocks meet in one group, and there each pair is looked at by its masks (see ``_alike``). With
+    ``groups(name, group)`` only pairs of different groups are given. With ``stars`` the pairs that two blocks give come as one star (a, b) for each of
+    their components, so that what is reachable stays the same.
     """
-    shared_folder(names.sparkSession)
+    spark = names.sparkSession
+    shared_folder(spark)
     names = names.select("name").where("name <> ''").distinct()
-    names = (names.withColumn("group", F.col("name")) if groups is None else names.join(groups, "name")).checkpoint()
-    chars = names.select(F.explode(F.split("name", "")).alias("c")).groupBy("c").count().collect()
-    rank = {r.c: r["count"] for r in chars}
-
-    @F.pandas_udf("struct<marks: array<string>, keys: array<string>>")
-    def blocks(x: pd.Series) -> pd.DataFrame:
-        marks = [_marks(name, rank) for name in x]
-        return pd.DataFrame({"marks": marks, "keys": [_block_keys(name, m, least, reach) for name, m in zip(x, marks)]})
-
-    blocked = names.withColumn("x", blocks("name")).select("name", "group", F.length("name").alias("l"), "x.marks", F.explode("x.keys").alias("key"))
-    # few names make many pairs: a number of partitions that isn't lowered by the names' size
-    blocked = blocked.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
-    left, apart = blocked, "a < b"
-    if groups is not None:
-        top = names.groupBy("group").count().orderBy(F.desc("count"), "group").first()
-        most = F.lit(top.group if top else None)
-        left = blocked.where(F.col("group") != most)
-        apart = (F.col("ga") != F.col("gb")) & (F.expr("a < b") | (F.col("gb") == most))
-    met = left.toDF("a", "ga", "la", "ma", "key").join(blocked.toDF("b", "gb", "lb", "mb", "key"), "key").where(apart).where(f"abs(la - lb) <= {reach}")
-    same = sum((F.expr(f"int(substr(a, {k}, 1) = substr(b, {k}, 1) and least(la, lb) >= {k})") for k in range(1, 5)), F.lit(0))
-    shared = F.size(F.array_intersect("ma", "mb"))
-    able = (shared / F.col("la") + shared / F.col("lb") + 1) / 3 >= (least - 0.1 * same) / (1 - 0.1 * same) - 1e-9
-    pairs = met.where(able).select("a", "b").distinct()
-    return pairs.withColumn("score", jaro_column("a", "b")).where(F.col("score") >= least).select("a", "b", "score")
+    names = (names if groups is None else names.join(groups.select("name", F.col("group").cast("string").alias("group")), "name")).checkpoint()
+    size = names.count()
+    blocks = max(1, -(-size // BLOCK_NAMES), min(8, -(-size // 500)))
+    own = names.withColumn("block", F.expr(f"int(pmod(xxhash64(name), {blocks}))")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    own = own.select(F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.expr("int(block > other)").alias("side"), *names.columns)
+    # small rows make much work: a number of partitions that isn't lowered by the rows' size
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(blocks * (blocks + 1) // 2, 4 * spark.sparkContext.defaultParallelism))
+
+    grouped = groups is not None
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table["name"].to_pylist(), table["side"].to_pylist(), table["group"].to_pylist() if grouped else repeat(None)))
+        known = [r[0] for r in rows]
+        group = np.unique(np.array([r[2] for r in rows], object).astype(str), return_inverse=True)[1] if grouped else None
+        two = table["x"][0] != table["y"][0]
+        side = np.array([r[1] for r in rows])
+        if two and (side.all() or not side.any()):
+            return pa.table({"a": [], "b": [], **({} if stars else {"score": []})}, schema)
+        found = [*zip(*_alike(known, side, group, least, reach))]
+        a, b, score = map(np.concatenate, found) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        if stars:
+            a, b = (np.array(x, np.int64) for x in zip(*_roots(zip(a.tolist(), b.tolist())))) if len(a) else (a, b)
+        text = pa.array(known, pa.string())
+        return pa.table([text.take(pa.array(a)), text.take(pa.array(b)), *([] if stars else [pa.array(score)])], schema)
+
+    schema = pa.schema([("a", pa.string()), ("b", pa.string()), *([] if stars else [("score", pa.float64())])])
+    return own.repartition(parts, "x", "y").groupBy("x", "y").applyInArrow(run, "a string, b string" + ", score double" * (not stars))
+
+
+def _roots(pairs) -> list[tuple]:
+    """Edges as one star for each of their components, around the smallest id."""
+    root: dict = {}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for a, b in pairs:
+        x, y = find(root.setdefault(a, a)), find(root.setdefault(b, b))
+        root[max(x, y)] = min(x, y)
+    return [(find(x), x) for x in root if find(x) != x]
+
+
+def jaro_column(a: str, b: str):
+    def score(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([jaro_bonus(u, v) for u, v in zip(x, y)], dtype="float64")
+
+    return F.pandas_udf(score, "double")(a, b)
 
 
 def _spelt_alike(names: DataFrame, least: float = 0.92) -> DataFrame:

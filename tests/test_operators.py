@@ -202,3 +202,13 @@ def test_clusters_need_no_pair_within_the_largest_one(spark):
     assert I.similar_pairs(some, groups=groups).isEmpty()  # all links are within the groups
     apart = spark.createDataFrame([(n, r if r != "zzyzzyzw" else n) for n, r in root.items()], "name string, group string")
     assert {tuple(sorted(r[:2])) for r in I.similar_pairs(some, groups=apart).collect()} == {("zzyzzyzw", "zzyzzyzx")}
+
+
+def test_similar_pairs_meet_by_blocks_and_score_as_one_by_one(spark):
+    draw = random.Random(7)
+    names = sorted({"".join(draw.choice("abcé\U00010400") for _ in range(draw.randint(1, 12))) for _ in range(900)} | {"x" * 70 + c for c in "abc"} | {"\0a", "a\0\0"})
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    pairs = I.similar_pairs(table)
+    assert "Join" not in pairs._jdf.queryExecution().executedPlan().toString()  # no pairs and no keys are dealt out before they are scored
+    want = {(a, b): s for a, b in itertools.combinations(names, 2) if abs(len(a) - len(b)) <= 3 and (s := I.jaro_bonus(a, b)) >= 0.92}
+    assert {(r.a, r.b): r.score for r in pairs.collect()} == want and ("x" * 70 + "a", "x" * 70 + "b") in want
