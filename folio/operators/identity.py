@@ -206,49 +206,34 @@ def _roots(pairs) -> list[tuple]:
     return [(find(x), x) for x in root if find(x) != x]
 
 
-def jaro_column(a: str, b: str):
-    def score(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([jaro_bonus(u, v) for u, v in zip(x, y)], dtype="float64")
-
-    return F.pandas_udf(score, "double")(a, b)
-
-
-def _spelt_alike(names: DataFrame, least: float = 0.92) -> DataFrame:
-    """(a, b): some of the pairs alike by ``jaro_bonus``: of the names that are one string but for one character, each with the first."""
-    own = names.select("name", F.explode(F.expr("array_distinct(transform(sequence(1, length(name)), k -> concat(left(name, k - 1), substr(name, k + 1))))")).alias("key"))
-    keys = own.union(names.select("name", F.col("name").alias("key")))
-    pairs = keys.join(keys.groupBy("key").agg(F.min("name").alias("a")), "key").where("name <> a").select("a", F.col("name").alias("b")).distinct()
-    return pairs.where(jaro_column("a", "b") >= least)
-
-
 def _stars(parts):
-    """(a, b) -> (a, b): a partition's edges as one star for each of its components, around the smallest id."""
-    root: dict = {}
-
-    def find(x):
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    for part in parts:
-        for a, b in zip(part["a"].tolist(), part["b"].tolist()):
-            x, y = find(root.setdefault(a, a)), find(root.setdefault(b, b))
-            root[max(x, y)] = min(x, y)
-    ends = [(find(x), x) for x in root if find(x) != x]
+    """(a, b) -> (a, b): a partition's edges as stars."""
+    ends = _roots((a, b) for part in parts for a, b in zip(part["a"].tolist(), part["b"].tolist()))
     if ends:
         yield pd.DataFrame(ends, columns=["a", "b"])
 
 
+MERGED_IDS = 1_000_000  # of so many ids a task holds all; of more, labels go along the edges, with the same result
+
+
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, component): the smallest id reachable. Labels go along edges and then jump to their own labels.
+    """(id, component): the smallest id reachable.
 
-    Each partition's edges become stars first, so that long paths don't take many rounds.
+    Each partition's edges become stars. If a task can hold the ids, eight partitions' stars are merged into one partition's until all are; otherwise
+    labels go along edges and then jump to their own labels.
     """
     shared_folder(vertices.sparkSession)
     edges = edges.where("a is not null and b is not null").select("a", "b")
     edges = edges.mapInPandas(_stars, edges.schema).checkpoint()
+    ids = vertices.select("id").distinct().checkpoint()
+    if ids.count() <= MERGED_IDS:
+        parts = edges.rdd.getNumPartitions()
+        while parts > 1:
+            parts = -(-parts // 8)
+            edges = edges.coalesce(parts).mapInPandas(_stars, edges.schema).checkpoint()
+        return ids.join(edges, F.col("id") == F.col("b"), "left").select("id", F.coalesce("a", "id").alias("component"))
     both = edges.union(edges.select("b", "a")).distinct().checkpoint()
-    label = vertices.select("id", F.col("id").alias("component")).distinct().checkpoint()
+    label = ids.select("id", F.col("id").alias("component"))
     while True:
         near = both.join(label, F.col("b") == F.col("id")).groupBy("a").agg(F.min("component").alias("low"))
         new = label.join(near, F.col("id") == F.col("a"), "left").select("id", F.least("component", F.coalesce("low", "component")).alias("component"), F.col("component").alias("was"))
@@ -262,14 +247,9 @@ def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 def clusters(names: DataFrame) -> DataFrame:
     """(name, n) -> cluster: its canonical name (the longest, then the first), its members and their count."""
     shared_folder(names.sparkSession)
-    names = names.checkpoint()  # many uses below, one scan of the texts
-    some = names.where("name <> ''")
-    near = components(names.select(F.col("name").alias("id")), _spelt_alike(some)).toDF("name", "group").checkpoint()
-    # pairs within a cluster change nothing: what is left are those between clusters
-    between = similar_pairs(some, groups=near)
-    ends = between.join(near.toDF("a", "ga"), "a").join(near.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b")).distinct()
-    whole = components(near.select(F.col("group").alias("id")), ends)
-    found = near.join(whole, F.col("group") == F.col("id")).select("name", "component")
+    names = names.checkpoint()  # several uses below, one scan of the texts
+    pairs = similar_pairs(names, stars=True)
+    found = components(names.select(F.col("name").alias("id")), pairs).toDF("name", "component")
     own = names.join(found, "name")
     return own.groupBy("component").agg(
         F.min_by("name", F.struct(-F.length("name"), F.col("name"))).alias("canonical"), F.count("*").alias("members"), F.sum("n").alias("mentions")

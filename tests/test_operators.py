@@ -212,3 +212,13 @@ def test_similar_pairs_meet_by_blocks_and_score_as_one_by_one(spark):
     assert "Join" not in pairs._jdf.queryExecution().executedPlan().toString()  # no pairs and no keys are dealt out before they are scored
     want = {(a, b): s for a, b in itertools.combinations(names, 2) if abs(len(a) - len(b)) <= 3 and (s := I.jaro_bonus(a, b)) >= 0.92}
     assert {(r.a, r.b): r.score for r in pairs.collect()} == want and ("x" * 70 + "a", "x" * 70 + "b") in want
+
+
+def test_components_are_the_same_merged_and_by_labels(spark, monkeypatch):
+    draw = random.Random(9)
+    edges = spark.createDataFrame([(draw.randrange(300), draw.randrange(300)) for _ in range(220)], "a long, b long").repartition(20)
+    merged = I.components(spark.range(300), edges)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1 and len({r.component for r in merged.collect()}) > 20
+    monkeypatch.setattr(I, "MERGED_IDS", 10)
+    assert sorted(I.components(spark.range(300), edges).collect()) == sorted(merged.collect())
